@@ -1,4 +1,8 @@
-"""Readings to the daily consumption fact."""
+"""Readings to the daily consumption fact.
+
+Keys of the operational tables are taken to be unique, as the data model declares them;
+``checks.duplicate_keys`` is the job that verifies it.
+"""
 
 from __future__ import annotations
 
@@ -16,31 +20,28 @@ def with_reading_features(readings: DataFrame) -> DataFrame:
 
 
 def customer_meter_bridge(customers: DataFrame, contracts: DataFrame, meters: DataFrame) -> DataFrame:
-    """Which customer and contract each meter belongs to.
+    """Which customer and contract each meter belongs to; one row per meter.
 
-    One contract may own a third of all meters. Contracts meet customers first, so only the
-    last join can be skewed; what follows it is an exchange or nothing, and adaptive
-    execution is free to split it.
+    One contract may own a third of all meters. Only the last join can be skewed by that;
+    what follows it is an exchange or nothing, so adaptive execution is free to split it.
     """
-    owners = contracts.select("contract_id", "customer_id").join(customers.select("customer_id"), "customer_id")
+    owners = contracts.select("contract_id", "customer_id").join(
+        customers.select("customer_id"), "customer_id", "left_semi"
+    )
     return meters.select("meter_id", "contract_id").join(owners, "contract_id").select(*schemas.BRIDGE_COLUMNS)
 
 
 def daily_consumption(readings: DataFrame, bridge: DataFrame) -> DataFrame:
     """Consumption per customer, contract, meter, day and band; unknown meters fall out.
 
-    Readings are summed per meter, day and band before they meet the bridge. Map-side sums
-    take the weight off a hot meter, and the join sees at most three rows per meter and day.
-    The second sum keeps the result right where the bridge lists a meter more than once.
+    A meter has one owner, so summing per meter, day and band before the join gives the same
+    groups. Map-side sums take the weight off a hot meter, and the join carries at most three
+    rows per meter and day.
     """
-    per_meter = (
+    return (
         with_reading_features(readings)
         .groupBy("meter_id", "date_id", "time_of_day")
         .agg(F.sum("measure").alias("consumption"))
-    )
-    return (
-        per_meter.join(bridge, "meter_id")
-        .groupBy(*schemas.BRIDGE_COLUMNS, "date_id", "time_of_day")
-        .agg(F.sum("consumption").alias("consumption"))
+        .join(bridge, "meter_id")
         .select(*schemas.CONSUMPTION_FACT)
     )

@@ -1,7 +1,8 @@
 """Daily consumption to monthly bills.
 
 Every job sums the fact per customer, contract, meter and month before it joins a
-dimension, so joins and bills work on monthly rows instead of daily ones.
+dimension, so joins and bills work on monthly rows instead of daily ones. Keys of the
+dimensions are unique, so a dimension adds columns or drops rows but never repeats any.
 """
 
 from __future__ import annotations
@@ -31,8 +32,12 @@ def segment_month_filter(
     fact: DataFrame, dim_date: DataFrame, customers: DataFrame, segment: str, year: int, month: int
 ) -> DataFrame:
     """Daily fact rows of one segment in one month; the segment is case-sensitive."""
+    return _of_segment(month_slice(fact, dim_date, year, month), customers, segment)
+
+
+def _of_segment(rows: DataFrame, customers: DataFrame, segment: str) -> DataFrame:
     members = customers.where(F.col("customer_type") == segment).select("customer_id")
-    return month_slice(fact, dim_date, year, month).join(members, "customer_id")
+    return rows.join(members, "customer_id", "left_semi")
 
 
 def _by_month(fact: DataFrame, dim_date: DataFrame, year: int | None, month: int | None, *extra: str) -> DataFrame:
@@ -54,14 +59,10 @@ def monthly_consumption(
     month: int | None = None,
 ) -> DataFrame:
     """Monthly consumption of one segment; with ``meters`` also per band and voltage."""
-    members = customers.where(F.col("customer_type") == segment).select("customer_id")
-    by_band = ("time_of_day",) if meters is not None else ()
-    monthly = _by_month(fact, dim_date, year, month, *by_band).join(members, "customer_id")
-    detail = by_band
-    if meters is not None:
-        monthly = monthly.join(meters.select("meter_id", "voltage"), "meter_id")
-        detail = ("time_of_day", "voltage")
-    return monthly.groupBy(*ACCOUNT, "date_id", *detail).agg(F.sum("consumption").alias("consumption"))
+    if meters is None:
+        return _of_segment(_by_month(fact, dim_date, year, month), customers, segment)
+    monthly = _of_segment(_by_month(fact, dim_date, year, month, "time_of_day"), customers, segment)
+    return monthly.join(meters.select("meter_id", "voltage"), "meter_id")
 
 
 def residential_revenue(monthly: DataFrame, prices: DataFrame, by_parts: bool = False) -> DataFrame:

@@ -32,8 +32,8 @@ def star_rollup(
 
     The fact is first summed by its foreign keys and the period. A customer or meter that
     holds a third of the fact is then down to a few rows per period before any join, and
-    the joins carry far fewer rows. The second sum works inside the partitions of the last
-    exchange whenever the attributes include the key.
+    the joins carry far fewer rows. Dimension keys are unique, so where the roll-up keeps
+    them all, that sum is already the result; otherwise a second one follows the joins.
     """
     fact_keys = [lookup.key for lookup in lookups]
     kept = [*dict.fromkeys([*fact_keys, *fact_columns])]
@@ -48,7 +48,7 @@ def star_rollup(
         rolled = rolled.join(lookup.dim.select(*columns), lookup.key)
         grouping += lookup.attributes
     grouping += [*fact_columns, *period]
-    if not lookups:
+    if set(fact_keys) <= set(grouping):
         return rolled.select(*grouping, measure)
     return rolled.groupBy(*grouping).agg(F.sum(measure).alias(measure))
 

@@ -350,15 +350,15 @@ def parse_reading_payload(bed: Testbed) -> DataFrame:
 @query
 def hourly_csv_partitions(bed: Testbed) -> DataFrame:
     folder = scratch_dir(bed.spark, "hourly-csv")
-    file_sinks.write_hourly_csv(bed.event_readings(), folder)
+    file_sinks.write_readings_csv(bed.event_readings(), folder, per="hour")
     return file_sources.read_readings(bed.spark, folder)
 
 
 @query
 def scan_readings_csv(bed: Testbed) -> DataFrame:
     folder = scratch_dir(bed.spark, "landed-csv")
-    file_sinks.write_hourly_csv(bed.event_readings(), folder)
-    return file_sources.read_readings(bed.spark, f"{folder}/hour_stamp=202401*")
+    file_sinks.write_readings_csv(bed.event_readings(), folder, per="day")
+    return file_sources.read_readings(bed.spark, f"{folder}/land_day=202401*")
 
 
 @query

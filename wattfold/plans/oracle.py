@@ -396,6 +396,6 @@ ORACLES: dict[str, str] = {
     "ingest_latency": """
         SELECT CAST(ts AS DATE) AS day, count(*) AS readings, max(delay) AS max_ms,
                CAST(sum(delay) AS DOUBLE) / count(*) AS mean_ms
-        FROM (SELECT ts, epoch_ms(ts) - epoch_ms(date_trunc('second', ts)) AS delay FROM events)
+        FROM (SELECT ts, (epoch_us(ts) - epoch_us(date_trunc('second', ts))) // 1000 AS delay FROM events)
         GROUP BY ALL""",
 }

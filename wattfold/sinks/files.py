@@ -31,13 +31,17 @@ def read_version(spark: SparkSession, base: str, version: str) -> DataFrame:
     return spark.read.parquet(f"{base}/version={version}")
 
 
-def write_hourly_csv(readings: DataFrame, path: str) -> None:
-    """Reading files with a header, one folder per hour, named by the hour's first second."""
-    hour_stamp = F.concat(F.date_format("datetime_measured", "yyyyMMddHH"), F.lit("0000"))
-    rows = readings.select(
-        "meter_id",
-        "measure",
-        moment_text(F.col("datetime_measured")).alias("datetime_measured"),
-        hour_stamp.alias("hour_stamp"),
-    )
-    rows.hint("rebalance", "hour_stamp").write.mode("overwrite").partitionBy("hour_stamp").csv(path, header=True)
+# Folder column and stamp pattern of the two ways to cut reading files.
+CUTS = {"hour": ("hour_stamp", "yyyyMMddHH", "0000"), "day": ("land_day", "yyyyMMdd", "")}
+
+
+def write_readings_csv(readings: DataFrame, path: str, per: str = "hour") -> None:
+    """Reading files with a header, one folder per hour or day, named by its stamp.
+
+    An hour that holds a third of the rows is split over several files.
+    """
+    folder, pattern, rest = CUTS[per]
+    moment = F.col("datetime_measured")
+    stamp = F.concat(F.date_format(moment, pattern), F.lit(rest)).alias(folder)
+    rows = readings.select("meter_id", "measure", moment_text(moment).alias("datetime_measured"), stamp)
+    rows.hint("rebalance", folder).write.mode("overwrite").partitionBy(folder).csv(path, header=True)

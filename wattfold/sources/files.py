@@ -18,5 +18,5 @@ def read_meter_list(spark: SparkSession, path: str) -> DataFrame:
     return listed.select(*[listed[name].try_cast("bigint").alias(name) for name in ("meter_id", "contract_id")])
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
