@@ -1,0 +1,114 @@
+import os
+from collections import Counter
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from rows import bag, table
+
+from wattfold import settings
+from wattfold.functions import payload
+from wattfold.sinks import files as sinks
+from wattfold.sources import files, jdbc, queue
+
+READING = "meter_id bigint, measure double, datetime_measured timestamp_ntz"
+
+
+def write_text(folder, name, *lines):
+    with open(f"{folder}/{name}", "w", encoding="utf-8") as out:
+        out.write("\n".join(lines) + "\n")
+
+
+def test_glob_picks_landing_days_and_bad_fields_read_as_null(spark, folder):
+    header = "meter_id,measure,datetime_measured"
+    write_text(folder, "readings_20230701000000.csv", header, "1,2.5,2023-06-30 23:00:00", "x,2.5,2023-07-01 00:00:00")
+    write_text(folder, "readings_20230701010000.csv", header, "2,abc,2023-07-01 01:00:00", "3,1.5,yesterday", "4")
+    write_text(folder, "readings_20230702000000.csv", header, "5,1.0,2023-07-02 00:00:00")
+    got = bag(files.read_readings(spark, f"{folder}/readings_20230701*.csv"))
+    assert got == Counter(
+        [
+            (1, 2.5, datetime(2023, 6, 30, 23)),
+            (None, 2.5, datetime(2023, 7, 1)),
+            (2, None, datetime(2023, 7, 1, 1)),
+            (3, 1.5, None),
+            (4, None, None),
+        ]
+    )
+
+
+def test_meter_list_finds_columns_by_name(spark, folder):
+    write_text(folder, "meters.csv", "location,contract_id,meter_id", "Huế,10001,50001", "Huế,,7")
+    got = bag(files.read_meter_list(spark, f"{folder}/meters.csv"))
+    assert got == Counter([(50001, 10001), (7, None)])
+
+
+@pytest.mark.parametrize("per, stamps", [("hour", {"20230701090000", "20230701100000"}), ("day", {"20230701"})])
+def test_reading_files_by_stamp(spark, folder, per, stamps):
+    rows = [(n, n / 4, datetime(2023, 7, 1, 9 + n % 2, n)) for n in range(20)]
+    sinks.write_readings_csv(table(spark, READING, *rows), f"{folder}/out", per)
+    assert {name.split("=")[1] for name in os.listdir(f"{folder}/out") if "=" in name} == stamps
+    got = files.read_readings(spark, f"{folder}/out").select("meter_id", "measure", "datetime_measured")
+    assert bag(got) == Counter(rows)
+
+
+def test_rewriting_a_day_replaces_it_and_leaves_the_others(spark, folder):
+    path = f"{folder}/fact"
+    fact = table(spark, "meter_id int, consumption double, date_id int", (1, 1.0, 20230701), (2, 2.0, 20230702))
+    sinks.write_fact(fact, path)
+    sinks.write_fact(fact, path)
+    sinks.write_fact(table(spark, fact.schema, (3, 3.0, 20230702)), path)
+    got = bag(spark.read.parquet(path), "meter_id", "consumption", "date_id")
+    assert got == Counter([(1, 1.0, 20230701), (3, 3.0, 20230702)])
+
+
+def test_payload_round_trip_and_damage(spark):
+    at = datetime(2024, 1, 1, 9, 5, 7)
+    encoded = payload.encode_reading(F.col("meter_id"), F.col("measure"), F.col("datetime_measured"))
+    lines = table(spark, READING, (5, 1.25, at), (None, 1.25, at), (5, None, None)).select(encoded.alias("line"))
+    assert [row.line for row in lines.collect()] == ["5,1.25,2024-01-01 09:05:07", ",1.25,2024-01-01 09:05:07", "5,,"]
+    damaged = ["5,1.25,2024-01-01 09:05:07", "bad,1.25,2024-01-01 09:05:07", "5,1.25", "", "5,x,y,z", None]
+    got = table(spark, "line string", *[(line,) for line in damaged]).select(*payload.decode_reading(F.col("line")))
+    assert [tuple(row) for row in got.collect()] == [
+        (5, 1.25, at),
+        (None, 1.25, at),
+        (5, 1.25, None),
+        (None, None, None),
+        (5, None, None),
+        (None, None, None),
+    ]
+
+
+def test_jdbc_scan_options():
+    query = "SELECT c.customer_id FROM customer c"
+    options = jdbc.scan_options("jdbc:x", query, jdbc.Ranges("customer_id", 1, 10200, 16))
+    assert options["dbtable"] == f"({query}) AS subquery"
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
+        "customer_id",
+        "1",
+        "10200",
+        "16",
+    )
+    plain = jdbc.scan_options("jdbc:x", "star.dim_customer")
+    assert plain["dbtable"] == "star.dim_customer" and "partitionColumn" not in plain
+
+
+def test_queue_options_start_at_the_beginning():
+    assert queue.queue_options("a:1,b:2", "readings", maxOffsetsPerTrigger="5") == {
+        "kafka.bootstrap.servers": "a:1,b:2",
+        "subscribe": "readings",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "5",
+    }
+
+
+def test_messages_are_keyed_by_meter(spark):
+    got = queue.as_messages(table(spark, READING, (5, 1.25, datetime(2024, 1, 1))))
+    assert tuple(got.first()) == ("5", "5,1.25,2024-01-01 00:00:00")
+
+
+def test_scratch_folders_are_fresh_and_under_the_shared_root(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    one, two = (settings.scratch_dir(spark, "x") for _ in range(2))
+    assert one != two
+    if root:
+        assert one.startswith(root)
