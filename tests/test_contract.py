@@ -61,12 +61,13 @@ def test_watermark_reaches_the_scan(spark, folder):
 
 
 def test_a_month_prunes_the_partitions_of_the_fact(spark, folder, small):
-    from wattfold.operators import revenue
+    from wattfold.operators import consumption, revenue
     from wattfold.plans.testbed import Testbed
     from wattfold.sinks import files as sinks
 
     bed = Testbed(spark, small)
-    sinks.write_fact(bed.consumption(), f"{folder}/fact")
+    january = consumption.daily_consumption(bed.event_readings(), bed.bridge())
+    sinks.replace_slice(january, f"{folder}/fact", "land_day", 20240201, "date_id")
     fact = spark.read.parquet(f"{folder}/fact")
     month = revenue.monthly_consumption(fact, bed.dim_date(), bed.customers(), "residential", year=2024, month=1)
     filters = next(line for line in plan(month).splitlines() if "PartitionFilters" in line)

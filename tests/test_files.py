@@ -51,14 +51,20 @@ def test_reading_files_by_stamp(spark, folder, per, stamps):
     assert bag(got) == Counter(rows)
 
 
-def test_rewriting_a_day_replaces_it_and_leaves_the_others(spark, folder):
+def test_a_slice_is_replaced_whole_and_others_stay(spark, folder):
     path = f"{folder}/fact"
-    fact = table(spark, "meter_id int, consumption double, date_id int", (1, 1.0, 20230701), (2, 2.0, 20230702))
-    sinks.write_fact(fact, path)
-    sinks.write_fact(fact, path)
-    sinks.write_fact(table(spark, fact.schema, (3, 3.0, 20230702)), path)
-    got = bag(spark.read.parquet(path), "meter_id", "consumption", "date_id")
-    assert got == Counter([(1, 1.0, 20230701), (3, 3.0, 20230702)])
+    schema = "meter_id int, consumption double, date_id int"
+    first = table(spark, schema, (1, 1.0, 20230630), (1, 2.0, 20230701))
+    sinks.replace_slice(first, path, "land_day", 20230701, "date_id")
+    sinks.replace_slice(first, path, "land_day", 20230701, "date_id")
+    sinks.replace_slice(table(spark, schema, (2, 4.0, 20230701)), path, "land_day", 20230702, "date_id")
+    columns = ["meter_id", "consumption", "date_id", "land_day"]
+    both = Counter([(1, 1.0, 20230630, 20230701), (1, 2.0, 20230701, 20230701), (2, 4.0, 20230701, 20230702)])
+    assert bag(spark.read.parquet(path), *columns) == both
+    sinks.replace_slice(table(spark, schema, (1, 8.0, 20230701)), path, "land_day", 20230701, "date_id")
+    assert bag(spark.read.parquet(path), *columns) == Counter(
+        [(1, 8.0, 20230701, 20230701), (2, 4.0, 20230701, 20230702)]
+    )
 
 
 def test_payload_round_trip_and_damage(spark):

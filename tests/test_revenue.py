@@ -61,8 +61,9 @@ def test_a_repeated_tier_is_an_error(spark):
 
 
 def test_price_per_slab_comes_from_its_tier_number(spark):
-    rates = tariff.slab_rates(seeds.residential_prices(spark))
-    row = spark.range(1).select(*[rate.alias(f"t{n}") for n, rate in enumerate(rates)]).first()
+    prices = spark.range(1).select(tariff.price_by_tier(seeds.residential_prices(spark)).alias("by_tier"))
+    rates = tariff.slab_rates(F.col("by_tier"))
+    row = prices.select(*[rate.alias(f"t{n}") for n, rate in enumerate(rates)]).first()
     assert [int(price) for price in row] == [1806, 1866, 2167, 2729, 3050, 3151]
 
 

@@ -29,7 +29,7 @@ class Topic:
     def ingest(self, dedup=False):
         parsed = ingest.parse_messages(self.stream())
         if dedup:
-            parsed = ingest.drop_repeats(parsed.where("valid"))
+            parsed = ingest.drop_repeats(parsed)
         ingest.ingest(parsed, f"{self.folder}/table", f"{self.folder}/checkpoint").awaitTermination()
 
     def table(self):
@@ -90,6 +90,26 @@ def test_repeats_are_dropped_across_batches_and_restarts(spark, folder):
     assert bag(topic.table(), *schemas.READING_COLUMNS) == Counter(row for _, row in sent)
 
 
+def test_a_late_reading_is_kept(spark, folder):
+    topic = Topic(spark, folder)
+    late, row = reading(-24 * 60)
+    topic.send(reading(0)[0], reading(1)[0])
+    topic.ingest(dedup=True)
+    topic.send(reading(48)[0])
+    topic.ingest(dedup=True)
+    topic.send(late, late)
+    topic.ingest(dedup=True)
+    assert bag(topic.table().where("datetime_measured < '2024-01-01'"), *schemas.READING_COLUMNS) == Counter([row])
+
+
+def test_bad_lines_survive_de_duplication(spark, folder):
+    topic = Topic(spark, folder)
+    topic.send("bad", "bad", "worse", reading(0)[0], "x,1.0,2024-01-01 00:00:00")
+    topic.ingest(dedup=True)
+    assert bag(topic.table().where("NOT valid"), "raw") == Counter([("bad",), ("worse",), ("x,1.0,2024-01-01 00:00:00",)])
+    assert topic.table().where("valid").count() == 1
+
+
 def test_two_values_for_one_instant_both_stay(spark, folder):
     topic = Topic(spark, folder)
     topic.send("1,1.0,2024-01-01 00:00:00", "1,2.0,2024-01-01 00:00:00", "1,2.0,2024-01-01 00:00:00")

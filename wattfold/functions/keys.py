@@ -19,7 +19,7 @@ def date_id(moment: Column) -> Column:
 
 def month_id(year: Column, month: Column) -> Column:
     """Date key of the first day of the month."""
-    return date_id(F.make_date(year, month, F.lit(1)))
+    return year * 10000 + month * 100 + 1
 
 
 def time_of_day(moment: Column) -> Column:

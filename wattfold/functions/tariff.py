@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 SLAB_BOUNDS = (50, 100, 200, 300, 400)
 
 
-def slab_rates(prices: DataFrame) -> list[Column]:
-    """Price of each slab, looked up by ``tier`` through one scalar subquery.
+def price_by_tier(prices: DataFrame) -> Column:
+    """The slab prices as one map value, read through a scalar subquery.
 
     Spark runs the subquery once and hands its value to the tasks, so no price passes
     through Python. A repeated tier raises, because a map key must be unique.
     """
-    by_tier = prices.select(F.map_from_entries(F.collect_list(F.struct("tier", "price")))).scalar()
+    return prices.select(F.map_from_entries(F.collect_list(F.struct("tier", "price")))).scalar()
+
+
+def slab_rates(by_tier: Column) -> list[Column]:
+    """The price of each slab, by its tier number."""
     return [by_tier[F.lit(tier)] for tier in range(1, len(SLAB_BOUNDS) + 2)]
 
 

@@ -68,8 +68,10 @@ def monthly_consumption(
 def residential_revenue(monthly: DataFrame, prices: DataFrame, by_parts: bool = False) -> DataFrame:
     """Progressive bill per meter and month; ``by_parts`` picks the sum-over-slabs form."""
     charge = tariff.slab_charge_by_parts if by_parts else tariff.slab_charge
-    bill = charge(F.col("consumption"), tariff.slab_rates(prices))
-    return monthly.withColumn("revenue", bill).select(*schemas.REVENUE_FACT)
+    bill = charge(F.col("consumption"), tariff.slab_rates(F.col("price_by_tier")))
+    # The map is a column of its own so that the plan holds its subquery once.
+    priced = monthly.withColumn("price_by_tier", tariff.price_by_tier(prices))
+    return priced.withColumn("revenue", bill).select(*schemas.REVENUE_FACT)
 
 
 def time_of_use_revenue(monthly: DataFrame, prices: DataFrame) -> DataFrame:
@@ -106,7 +108,7 @@ def all_revenue(
     monthly = monthly.join(voltages, (F.col("meter_id") == F.col("dim_meter_id")) & ~is_home, "left")
     price_list = band_prices.withColumnRenamed("voltage_tier", "voltage")
     priced = monthly.join(price_list, ["customer_type", "voltage", "time_of_day"], "left")
-    bill = tariff.slab_charge(F.col("consumption"), tariff.slab_rates(residential_prices))
+    bill = tariff.slab_charge(F.col("consumption"), tariff.slab_rates(F.col("price_by_tier")))
     return (
         priced.where(is_home | F.col("price").isNotNull())
         .groupBy(*ACCOUNT, "date_id", "customer_type")
@@ -114,6 +116,7 @@ def all_revenue(
             F.sum("consumption").alias("consumption"),
             F.sum(F.col("consumption") * F.col("price")).alias("band_revenue"),
         )
+        .withColumn("price_by_tier", tariff.price_by_tier(residential_prices))
         .withColumn("revenue", F.when(is_home, bill).otherwise(F.col("band_revenue")))
         .select(*schemas.REVENUE_FACT, "customer_type")
     )

@@ -8,22 +8,22 @@ from pyspark.sql import functions as F
 from wattfold.functions.payload import moment_text
 
 
-def write_fact(fact: DataFrame, path: str, partition_by: tuple[str, ...] = ("date_id",)) -> None:
-    """Replace the partitions that the rows fall in and leave the others alone.
+def replace_slice(rows: DataFrame, table: str, column: str, value: object, partition_by: str) -> None:
+    """Write one slice of a partitioned table, such as a landing day, in place of what it held.
 
-    ``rebalance`` gathers each partition into few files and splits one that is too big.
+    Running a load again leaves no second copy and nothing stale, and other slices are not
+    touched. ``rebalance`` gathers each partition into few files and splits one that is too big.
     """
-    (
-        fact.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    rows = rows.drop(column).hint("rebalance", partition_by)
+    rows.write.mode("overwrite").partitionBy(partition_by).parquet(f"{table}/{column}={value}")
 
 
 def write_version(table: DataFrame, base: str, version: str) -> None:
-    """Write a new version of a table beside the one it may have been read from."""
+    """Write a new version of a table beside the one it may have been read from.
+
+    Readers switch by naming the new version, and a load that fails halfway is run again
+    into the same place.
+    """
     table.write.mode("overwrite").parquet(f"{base}/version={version}")
 
 

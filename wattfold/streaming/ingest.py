@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from wattfold import schemas
 from wattfold.functions import payload
 
+LINE_KEY = (*schemas.READING_COLUMNS, "raw")
+
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Typed readings from messages; ``valid`` is false, and ``raw`` kept, where a field is bad.
@@ -26,17 +28,15 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     return parsed.withColumn("valid", valid).withColumn("raw", F.when(~F.col("valid"), F.col("raw")))
 
 
-def drop_repeats(
-    parsed: DataFrame, delay: str = "1 day", key: Sequence[str] = schemas.READING_COLUMNS
-) -> DataFrame:
-    """Readings with retransmissions removed; state is kept only as long as ``delay``.
+def drop_repeats(parsed: DataFrame, delay: str = "1 day", key: Sequence[str] = LINE_KEY) -> DataFrame:
+    """Parsed messages with retransmissions removed that arrive within ``delay`` of each other.
 
-    Call it on valid rows only, since NULL keys would count as one reading. The default key
-    is the whole reading, so two different values for one instant both stay.
+    State is aged by the time at which a batch is processed, not by the measured instant, so
+    a reading that comes late is never lost. The default key is the whole reading, so two
+    different values for one instant both stay, and bad lines are told apart by their text.
     """
-    moment = F.col("datetime_measured").cast("timestamp")
-    timed = parsed.withColumn("event_time", moment).withWatermark("event_time", delay)
-    return timed.dropDuplicatesWithinWatermark(list(key)).drop("event_time")
+    seen = parsed.withColumn("seen_at", F.current_timestamp()).withWatermark("seen_at", delay)
+    return seen.dropDuplicatesWithinWatermark(list(key)).drop("seen_at")
 
 
 def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
