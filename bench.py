@@ -48,14 +48,13 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(
-        "wattfold-bench",
-        f"local[{cpus}]",
-        spark__sql__shuffle__partitions=cpus,
-        spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false",
-        spark__driver__memory="16g",
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "16g",
+    }
+    spark = build_session("wattfold-bench", f"local[{cpus}]", settings)
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     # One untimed query loads classes and compiles common code.

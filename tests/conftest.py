@@ -14,13 +14,12 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "wattfold-tests",
-        "local[4]",
-        spark__sql__shuffle__partitions="4",
-        spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false",
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    session = build_session("wattfold-tests", "local[4]", settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

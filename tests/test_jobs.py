@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from rows import bag, table
 
+import run_job
 from wattfold.plans import jobs
 
 DAY = date(2023, 7, 2)
@@ -65,6 +66,25 @@ def test_pipeline(spark, folder, operational):
     assert by_place == Counter([("VN-26", 1, 110.0), ("VN-26", 2, 1.0)])
 
 
+def test_jobs_by_command(spark, folder, operational, capsys):
+    tables, warehouse = f"{folder}/operational", f"{folder}/warehouse"
+    for name, frame in zip(run_job.SOURCES.values(), operational):
+        frame.write.parquet(f"{tables}/{name}")
+    land(folder, "readings_20230702000000.csv", "100,40,2023-07-01 12:30:00", "200,1,2023-07-02 23:00:00")
+
+    def run(command, *options):
+        run_job.run(spark, run_job.parser().parse_args([command, "--warehouse", warehouse, *options]))
+
+    run("calendar", "--last", "2024-12-31")
+    for name in run_job.SOURCES:
+        run("dimension", "--operational", tables, "--version", "a", "--name", name)
+    run("consumption", "--operational", tables, "--landed", f"{folder}/readings_{{day}}*.csv", "--day", "2023-07-02")
+    run("revenue", "--version", "a", "--year", "2023", "--month", "7")
+    bills = bag(spark.read.parquet(f"{warehouse}/fact_revenue"), "date_id", "meter_id", "revenue", "customer_type")
+    assert bills == Counter([(20230701, 100, 40 * 1806.0, "residential"), (20230701, 200, 1746.0, "commercial")])
+    assert "dim_customer: 0 source rows" in capsys.readouterr().out
+
+
 def test_a_version_is_not_overwritten_by_itself(spark, folder, operational):
     with pytest.raises(ValueError):
         jobs.load_dimension(spark, operational[0], folder, "dim_customer", "a", previous="a")

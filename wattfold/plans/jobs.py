@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,8 +33,11 @@ def load_calendar(
 
 def load_dimension(
     spark: SparkSession, source: DataFrame, warehouse: str, name: str, version: str, previous: str | None = None
-) -> None:
-    """Write a dimension's next version; without ``previous`` it starts empty."""
+) -> int:
+    """Write a dimension's next version and return how many source rows had no key.
+
+    Without ``previous`` the dimension starts empty.
+    """
     dimension, base = DIMENSIONS[name], f"{warehouse}/{name}"
     if version == previous:
         raise ValueError(f"{name} cannot be read from and written to version {version} at once")
@@ -42,7 +45,9 @@ def load_dimension(
         target = source.select(*dimension.columns).where(F.lit(False))
     else:
         target = sinks.read_version(spark, base, previous)
-    sinks.write_version(dimensions.upsert(source, target, dimension), base, version)
+    null_keys = Observation()
+    sinks.write_version(dimensions.upsert(source, target, dimension, null_keys=null_keys), base, version)
+    return null_keys.get["null_keys"]
 
 
 def load_consumption(
@@ -94,6 +99,11 @@ def serve_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
     )
 
 
+def start_landing(messages: DataFrame, folder: str, checkpoint: str, interval: str | None = "1 hour") -> StreamingQuery:
+    """Messages into CSV files by day of arrival, for the daily job to pick up."""
+    return ingest.land_csv(messages, folder, checkpoint, interval)
+
+
 def start_speed_layer(
     messages: DataFrame, table: str, checkpoint: str, interval: str | None = "10 seconds", delay: str | None = "1 day"
 ) -> StreamingQuery:

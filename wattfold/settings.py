@@ -26,13 +26,12 @@ SESSION_CONF = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above; ``conf`` uses ``__`` for dots in keys."""
+def build_session(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
+    """A session with the settings above, of which ``conf`` may add to or replace any."""
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    settings = SESSION_CONF | {key.replace("__", "."): value for key, value in conf.items()}
-    for key, value in settings.items():
+    for key, value in {**SESSION_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
