@@ -60,6 +60,21 @@ def test_watermark_reaches_the_scan(spark, folder):
     assert "GreaterThan(updated_date,ScalarSubquery" in text
 
 
+def test_a_small_stored_slice_leaves_the_target_unshuffled(spark, folder):
+    from pyspark.sql import functions as F
+    from wattfold.operators import dimensions
+
+    day = F.lit("2024-01-01").cast("date")
+    rows = lambda n: spark.range(n).select(
+        F.col("id").alias("contract_id"), day.alias("date_created"), F.lit("x").alias("status"), day.alias("updated_date")
+    )
+    rows(1000).write.parquet(f"{folder}/target")
+    rows(10).write.parquet(f"{folder}/fresh")
+    target, fresh = spark.read.parquet(f"{folder}/target"), spark.read.parquet(f"{folder}/fresh")
+    text = plan(dimensions.merge(target, fresh, dimensions.CONTRACT))
+    assert "BroadcastHashJoin LeftAnti" in text and "hashpartitioning" not in text
+
+
 def test_a_month_prunes_the_partitions_of_the_fact(spark, folder, small):
     from wattfold.operators import consumption, revenue
     from wattfold.plans.testbed import Testbed

@@ -86,9 +86,10 @@ def test_null_keys_are_left_out_and_counted(spark):
     target = contracts(spark, (1, "old", june(1)))
     source = contracts(spark, (None, "new", june(2)), (None, "new", june(3)), (2, "new", june(2)))
     seen = Observation()
-    got = dimensions.upsert(source, target, dimensions.CONTRACT, null_keys=seen)
-    assert bag(got, "contract_id") == Counter([(1,), (2,)])
+    got = dimensions.fresh_rows(source, target, dimensions.CONTRACT, null_keys=seen)
+    assert bag(got, "contract_id") == Counter([(2,)])
     assert seen.get["null_keys"] == 2
+    assert bag(dimensions.upsert(source, target, dimensions.CONTRACT), "contract_id") == Counter([(1,), (2,)])
 
 
 def test_of_several_new_rows_the_newest_counts(spark):

@@ -1,0 +1,117 @@
+"""Jobs against row-by-row loops in plain Python, on random small tables."""
+
+import random
+from collections import Counter, defaultdict
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from rows import bag, table
+
+from wattfold.operators import calendar, consumption, dimensions, revenue, rollups
+from wattfold.sources import seeds
+
+SEEDS = range(3)
+HOME = [1806, 1866, 2167, 2729, 3050, 3151]
+TIERS = ["less than 6kV", "6kV to less than 22kV", "22kV and above", "22kV to less than 100kV", "100kV and above", None]
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_upsert_against_a_row_loop(spark, seed, inclusive):
+    chance = random.Random(seed)
+    day = lambda: date(2024, 6, 1) + timedelta(days=chance.randrange(20))
+    schema = "contract_id bigint, date_created date, status string, updated_date date"
+    target = {key: (key, day(), "old", min(day(), date(2024, 6, 12))) for key in chance.sample(range(30), 15)}
+    source = [(key, day(), f"new{key}", chance.choice([day(), day(), None])) for key in range(30)]
+    loaded_to = max(row[3] for row in target.values())
+    want = dict(target)
+    for row in source:
+        if row[3] is not None and (row[3] > loaded_to or (inclusive and row[3] == loaded_to)):
+            want[row[0]] = row
+    source += [(None, day(), "no key", day())]
+    got = dimensions.upsert(
+        table(spark, schema, *source), table(spark, schema, *target.values()), dimensions.CONTRACT, inclusive
+    )
+    assert bag(got) == Counter(want.values())
+
+
+def random_star(chance):
+    """Customers own contracts, contracts own meters, meters send readings; some links are broken."""
+    kinds = ["residential", "commercial", "industrial", "Residential", None]
+    customers = [(n, f"name {n}", chance.choice(kinds)) for n in range(8)]
+    contracts = [(100 + n, chance.choice([n, n, n, 77])) for n in range(8)]
+    meters = [(1000 + n, chance.choice([100, 100, 101, 102, 103, 104, 105, 999]), chance.choice(TIERS)) for n in range(20)]
+    start = datetime(2024, 1, 20)
+    readings = [
+        (
+            chance.choice([1000, chance.randrange(1000, 1022)]),
+            Decimal(chance.randrange(-300, 9000)) / 100,
+            start + timedelta(hours=chance.randrange(24 * 30)),
+        )
+        for _ in range(400)
+    ]
+    return customers, contracts, meters, readings
+
+
+def band_of(hour):
+    return "high" if hour in (10, 11, 18, 19, 20) else "low" if hour in (23, 0, 1, 2, 3, 4) else "normal"
+
+
+def home_bill(usage):
+    if usage <= 50:
+        return usage * HOME[0]
+    bill, lower = Decimal(0), 0
+    for upper, rate in zip((50, 100, 200, 300, 400, 10**9), HOME):
+        bill += max(Decimal(0), min(usage, Decimal(upper)) - lower) * rate
+        lower = upper
+    return bill
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_readings_to_bills_against_a_row_loop(spark, seed):
+    customers, contracts, meters, readings = random_star(random.Random(seed))
+    kind = {row[0]: row[2] for row in customers}
+    owner = {contract: customer for contract, customer in contracts if customer in kind}
+    contract_of = {meter: contract for meter, contract, _ in meters if contract in owner}
+    voltage = {meter: tier for meter, _, tier in meters}
+
+    used, daily = defaultdict(Decimal), defaultdict(Decimal)
+    for meter, measure, at in readings:
+        if meter in contract_of:
+            used[meter, at.year, at.month, band_of(at.hour)] += measure
+            daily[owner[contract_of[meter]], at.date()] += measure
+    prices = {}
+    for segment, values in (("commercial", seeds.commercial_prices), ("industrial", seeds.industrial_prices)):
+        for row in values(spark).collect():
+            prices[segment, row.voltage_tier, row.time_of_day] = row.price
+    bills, monthly_home = defaultdict(Decimal), defaultdict(Decimal)
+    for (meter, year, month, band), kwh in used.items():
+        segment = kind[owner[contract_of[meter]]]
+        account = (year * 10000 + month * 100 + 1, meter)
+        if segment == "residential":
+            monthly_home[account] += kwh
+        elif (segment, voltage[meter], band) in prices:
+            bills[account] += kwh * prices[segment, voltage[meter], band]
+    bills |= {account: home_bill(kwh) for account, kwh in monthly_home.items()}
+
+    x_customers = table(spark, "customer_id bigint, customer_name string, customer_type string", *customers)
+    x_contracts = table(spark, "contract_id bigint, customer_id bigint", *contracts)
+    x_meters = table(spark, "meter_id bigint, contract_id bigint, voltage string", *meters)
+    x_readings = table(spark, "meter_id bigint, measure decimal(8,2), datetime_measured timestamp_ntz", *readings)
+    days = calendar.calendar(spark)
+    bridge = consumption.customer_meter_bridge(x_customers, x_contracts, x_meters)
+    fact = consumption.daily_consumption(x_readings, bridge)
+
+    got = revenue.all_revenue(
+        fact, days, x_customers, x_meters, seeds.residential_prices(spark), seeds.business_prices(spark)
+    )
+    assert {(row.date_id, row.meter_id): row.revenue for row in got.collect()} == bills
+
+    by_customer = rollups.daily_consumption_by_customer(fact, days, x_customers).collect()
+    assert {(row.customer_id, date(row.year, row.month, row.day)): row.consumption for row in by_customer} == daily
+    by_type = defaultdict(Decimal)
+    for (customer, at), kwh in daily.items():
+        by_type[kind[customer], at] += kwh
+    got = rollups.daily_consumption_by_customer_type(fact, days, x_customers).collect()
+    assert {(row.customer_type, date(row.year, row.month, row.day)): row.consumption for row in got} == by_type

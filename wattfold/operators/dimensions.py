@@ -70,25 +70,36 @@ def new_keys(fresh: DataFrame, target: DataFrame, dimension: Dimension) -> DataF
     return fresh.join(target.select(dimension.key), dimension.key, "left_anti").select(*dimension.columns)
 
 
-def upsert(
+def fresh_rows(
     source: DataFrame,
     target: DataFrame,
     dimension: Dimension,
     inclusive: bool = False,
     null_keys: Observation | None = None,
 ) -> DataFrame:
-    """The dimension after the load: newer source rows overwrite or join the target rows.
+    """The slice to load: one row per key, the newest. Rows without a key are left out.
 
-    Nothing is deleted. Source rows without a key are left out; ``null_keys`` receives their
-    number as ``null_keys``. Of several new rows for a key the newest counts. A daily slice
-    is small beside the dimension, so the anti join usually leaves the target unshuffled.
+    ``null_keys`` receives the number of rows left out, as ``null_keys``.
     """
     fresh = incremental_slice(source, target, dimension, inclusive)
     if null_keys is not None:
         fresh = fresh.observe(null_keys, F.count_if(F.col(dimension.key).isNull()).alias("null_keys"))
-    fresh = newest_per_key(fresh.where(F.col(dimension.key).isNotNull()), dimension)
+    return newest_per_key(fresh.where(F.col(dimension.key).isNotNull()), dimension)
+
+
+def merge(target: DataFrame, fresh: DataFrame, dimension: Dimension) -> DataFrame:
+    """The target with fresh rows in place of those of the same key; nothing is deleted.
+
+    When ``fresh`` is read from a table, Spark knows its size and broadcasts a small one, so
+    that the target is not shuffled.
+    """
     kept = target.select(*dimension.columns).join(fresh.select(dimension.key), dimension.key, "left_anti")
-    return kept.select(*dimension.columns).unionByName(fresh)
+    return kept.select(*dimension.columns).unionByName(fresh.select(*dimension.columns))
+
+
+def upsert(source: DataFrame, target: DataFrame, dimension: Dimension, inclusive: bool = False) -> DataFrame:
+    """The dimension after the load: newer source rows overwrite or join the target rows."""
+    return merge(target, fresh_rows(source, target, dimension, inclusive), dimension)
 
 
 def with_default_date(rows: DataFrame, today: date) -> DataFrame:

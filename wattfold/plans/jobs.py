@@ -46,7 +46,11 @@ def load_dimension(
     else:
         target = sinks.read_version(spark, base, previous)
     null_keys = Observation()
-    sinks.write_version(dimensions.upsert(source, target, dimension, null_keys=null_keys), base, version)
+    # The slice is stored first: it is computed once, and its size is known to the merge.
+    slices = f"{warehouse}/slices/{name}"
+    sinks.write_version(dimensions.fresh_rows(source, target, dimension, null_keys=null_keys), slices, version)
+    fresh = sinks.read_version(spark, slices, version)
+    sinks.write_version(dimensions.merge(target, fresh, dimension), base, version)
     return null_keys.get["null_keys"]
 
 
@@ -67,8 +71,10 @@ def load_consumption(
     """
     stamp = land_day.strftime("%Y%m%d")
     readings = sources.read_readings(spark, landed.replace("{day}", stamp))
-    bridge = consumption.customer_meter_bridge(customers, contracts, meters)
-    fact = consumption.daily_consumption(readings, bridge)
+    # Stored, so that its size is known to the join with the readings.
+    bridges = f"{warehouse}/customer_meter"
+    sinks.write_version(consumption.customer_meter_bridge(customers, contracts, meters), bridges, stamp)
+    fact = consumption.daily_consumption(readings, sinks.read_version(spark, bridges, stamp))
     sinks.replace_slice(fact, f"{warehouse}/fact_power_consumption", "land_day", stamp, "date_id")
 
 
