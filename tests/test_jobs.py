@@ -1,5 +1,7 @@
 """The pipeline from landed files to the serving views."""
 
+import contextlib
+import io
 from collections import Counter
 from datetime import date
 
@@ -62,6 +64,10 @@ def test_pipeline(spark, folder, operational):
     bills = bag(spark.table("monthly_revenue_by_customer"), "customer_id", "month", "year", "revenue")
     home = 50 * 1806.0 + 50 * 1866.0
     assert bills == Counter([(1, 7, 2023, home), (2, 7, 2023, 10 * 4937.0 + 1 * 1746.0)])
+    one_day = spark.sql("SELECT * FROM daily_consumption_by_customer WHERE year = 2023 AND month = 7 AND day = 2")
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        one_day.explain("formatted")
+    assert "dynamicpruning" in out.getvalue() and one_day.count() == 1
     by_place = bag(spark.table("daily_consumption_by_location"), "iso_code", "day", "consumption")
     assert by_place == Counter([("VN-26", 1, 110.0), ("VN-26", 2, 1.0)])
 

@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -58,17 +59,31 @@ def test_stream_equals_batch_and_a_restart_adds_only_what_is_new(spark, folder):
     assert bag(batch, *schemas.READING_COLUMNS) == Counter(row for _, row in sent)
 
 
-def test_a_repeated_batch_replaces_itself(spark, folder):
-    """What a failure between the write and the checkpoint's commit leads to."""
+def test_a_batch_repeated_after_a_failure_replaces_itself(spark, folder):
     topic = Topic(spark, folder)
-    topic.send(*[reading(n)[0] for n in range(4)])
+    topic.send(*[reading(n)[0] for n in range(2)])
+    topic.send(*[reading(n)[0] for n in range(2, 4)])
     topic.ingest()
     before = bag(topic.table(), *schemas.READING_COLUMNS)
-    parsed = ingest.parse_messages(topic.stream())
-    ingest.ingest(parsed, f"{folder}/table", f"{folder}/fresh-checkpoint").awaitTermination()
+    # The state after a crash between the write of the last batch and its commit.
+    for name in ("1", ".1.crc"):
+        os.remove(f"{folder}/checkpoint/commits/{name}")
+    topic.ingest()
+    assert os.path.exists(f"{folder}/checkpoint/commits/1")
     assert bag(topic.table(), *schemas.READING_COLUMNS) == before
 
 
+def test_a_new_checkpoint_leaves_older_batches_alone(spark, folder):
+    topic = Topic(spark, folder)
+    topic.send(reading(0)[0])
+    topic.ingest()
+    other = Topic(spark, f"{folder}/other")
+    other.send(reading(1)[0])
+    parsed = ingest.parse_messages(other.stream())
+    ingest.ingest(parsed, f"{folder}/table", f"{folder}/checkpoint-2").awaitTermination()
+    assert bag(topic.table(), *schemas.READING_COLUMNS) == Counter([reading(0)[1], reading(1)[1]])
+
+
 def test_bad_lines_are_kept_apart_with_their_text(spark, folder):
     topic = Topic(spark, folder)
     good, row = reading(0)

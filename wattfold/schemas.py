@@ -7,7 +7,7 @@ READING = "meter_id BIGINT, measure DOUBLE, datetime_measured TIMESTAMP_NTZ"
 METER_LIST = "meter_id BIGINT, contract_id BIGINT"
 
 # One row of the speed-layer table; ``raw`` keeps the text of lines that did not parse.
-SPEED_READING = READING + ", raw STRING, batch_id BIGINT, valid BOOLEAN"
+SPEED_READING = READING + ", raw STRING, run STRING, batch_id BIGINT, valid BOOLEAN"
 
 READING_COLUMNS = ("meter_id", "measure", "datetime_measured")
 

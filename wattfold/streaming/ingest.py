@@ -49,11 +49,14 @@ def ingest(parsed: DataFrame, table: str, checkpoint: str, interval: str | None
     """Append parsed readings to the speed-layer table; valid and bad rows go to separate partitions.
 
     Each batch owns one folder and overwrites it, so a batch repeated after a failure leaves
-    no second copy. Without ``interval`` the stream takes what is there and stops.
+    no second copy. Batches are numbered per checkpoint, hence the folder of the checkpoint's
+    name: a stream started afresh under a new name never touches what an older one wrote.
+    Without ``interval`` the stream takes what is there and stops.
     """
+    run = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy("valid").parquet(f"{table}/batch_id={batch_id}")
+        batch.write.mode("overwrite").partitionBy("valid").parquet(f"{table}/run={run}/batch_id={batch_id}")
 
     columns = [*schemas.READING_COLUMNS, "raw", "valid"]
     return _start(parsed.select(*columns).writeStream.foreachBatch(write), checkpoint, interval)
