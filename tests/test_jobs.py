@@ -3,7 +3,7 @@
 import contextlib
 import io
 from collections import Counter
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from rows import bag, table
@@ -91,6 +91,24 @@ def test_jobs_by_command(spark, folder, operational, capsys):
     assert "dim_customer: 0 source rows" in capsys.readouterr().out
 
 
+def test_landing_stream_feeds_the_daily_job(spark, folder, operational):
+    rows = [
+        (b"100,1.5,2023-07-01 23:00:00", datetime(2023, 7, 2, 0, 0, 5)),
+        (b"100,2.5,2023-07-02 01:00:00", datetime(2023, 7, 2, 1, 0, 5)),
+        (b"bad,2.5,2023-07-02 01:00:00", datetime(2023, 7, 2, 1, 0, 5)),
+        (b"100,4.0,2023-07-03 01:00:00", datetime(2023, 7, 3, 1, 0, 5)),
+    ]
+    schema = "value binary, timestamp timestamp_ntz"
+    table(spark, schema, *rows).write.parquet(f"{folder}/topic")
+    messages = spark.readStream.schema(schema).parquet(f"{folder}/topic")
+    jobs.start_landing(messages, f"{folder}/landed", f"{folder}/landed-checkpoint", None).awaitTermination()
+    # A file of a batch that never came to its commit does not count.
+    land(f"{folder}/landed/land_day=20230702", "part-orphan.csv", "100,99.0,2023-07-02 01:00:00")
+    jobs.load_consumption(spark, f"{folder}/landed", DAY, *operational, f"{folder}/warehouse")
+    got = bag(spark.read.parquet(f"{folder}/warehouse/fact_power_consumption"), "date_id", "meter_id", "consumption")
+    assert got == Counter([(20230701, 100, 1.5), (20230702, 100, 2.5)])
+
+
 def test_a_version_is_not_overwritten_by_itself(spark, folder, operational):
     with pytest.raises(ValueError):
         jobs.load_dimension(spark, operational[0], folder, "dim_customer", "a", previous="a")

@@ -65,12 +65,15 @@ def load_consumption(
 ) -> None:
     """One landing day's files into the consumption fact.
 
-    ``landed`` is a glob with ``{day}`` where the landing day stands. The files of a landing
-    day may hold readings of earlier days, so the fact keeps landing days apart and the
-    roll-ups add them up.
+    ``landed`` is the folder of the landing stream, or a glob over files from elsewhere with
+    ``{day}`` where the landing day stands. The files of a landing day may hold readings of
+    earlier days, so the fact keeps landing days apart and the roll-ups add them up.
     """
     stamp = land_day.strftime("%Y%m%d")
-    readings = sources.read_readings(spark, landed.replace("{day}", stamp))
+    if "{day}" in landed:
+        readings = sources.read_readings(spark, landed.replace("{day}", stamp))
+    else:
+        readings = sources.read_landed_day(spark, landed, land_day)
     # Stored, so that its size is known to the join with the readings.
     bridges = f"{warehouse}/customer_meter"
     sinks.write_version(consumption.customer_meter_bridge(customers, contracts, meters), bridges, stamp)

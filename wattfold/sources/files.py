@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattfold import schemas
 
@@ -12,6 +15,16 @@ def read_readings(spark: SparkSession, path_glob: str) -> DataFrame:
     return spark.read.schema(schemas.READING).csv(path_glob, header=True)
 
 
+def read_landed_day(spark: SparkSession, folder: str, land_day: date) -> DataFrame:
+    """One landing day out of the folder that the landing stream writes.
+
+    The folder is read as a whole and pruned by partition, because only so does Spark leave
+    out files of batches that were never committed.
+    """
+    day = F.col("land_day") == int(land_day.strftime("%Y%m%d"))
+    return read_readings(spark, folder).where(day).drop("land_day")
+
+
 def read_meter_list(spark: SparkSession, path: str) -> DataFrame:
     """Meter and contract ids from a CSV export, columns found by header name."""
     listed = spark.read.csv(path, header=True)
