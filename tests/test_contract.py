@@ -2,11 +2,18 @@
 
 import contextlib
 import io
+from datetime import date
 
 import compare_oracle
 import pytest
+from pyspark.sql import functions as F
+from rows import table
 
 import __spark_entry__ as contract
+from wattfold.operators import calendar, checks, consumption, dimensions, revenue, rollups
+from wattfold.plans.testbed import Testbed
+from wattfold.sinks import files as sinks
+from wattfold.sources import seeds
 
 QUERIES = contract.queries()
 STREAMS = {name for name in QUERIES if name.startswith("stream_")} | {"ingest_latency"}
@@ -47,11 +54,6 @@ def test_no_cross_join_and_no_python_in_the_plan(spark, small, name):
 
 
 def test_watermark_reaches_the_scan(spark, folder):
-    from datetime import date
-
-    from rows import table
-    from wattfold.operators import dimensions
-
     schema = "contract_id bigint, date_created date, status string, updated_date date"
     day = date(2024, 1, 1)
     table(spark, schema, (1, day, "x", day)).write.parquet(f"{folder}/source")
@@ -61,9 +63,6 @@ def test_watermark_reaches_the_scan(spark, folder):
 
 
 def test_a_small_stored_slice_leaves_the_target_unshuffled(spark, folder):
-    from pyspark.sql import functions as F
-    from wattfold.operators import dimensions
-
     day = F.lit("2024-01-01").cast("date")
     rows = lambda n: spark.range(n).select(
         F.col("id").alias("contract_id"), day.alias("date_created"), F.lit("x").alias("status"), day.alias("updated_date")
@@ -76,10 +75,6 @@ def test_a_small_stored_slice_leaves_the_target_unshuffled(spark, folder):
 
 
 def test_a_month_prunes_the_partitions_of_the_fact(spark, folder, small):
-    from wattfold.operators import consumption, revenue
-    from wattfold.plans.testbed import Testbed
-    from wattfold.sinks import files as sinks
-
     bed = Testbed(spark, small)
     january = consumption.daily_consumption(bed.event_readings(), bed.bridge())
     sinks.replace_slice(january, f"{folder}/fact", "land_day", 20240201, "date_id")
@@ -89,31 +84,81 @@ def test_a_month_prunes_the_partitions_of_the_fact(spark, folder, small):
     assert "20240101" in filters and "20240131" in filters
 
 
-def test_a_skewed_join_is_split(spark):
-    """One contract with a third of all meters, and sizes too big to broadcast."""
-    from pyspark.sql import functions as F
-    from wattfold.operators import consumption
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    "spark.sql.shuffle.partitions": "8",
+}
 
-    meters = spark.range(300_000).select(
-        F.col("id").alias("meter_id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("contract_id")
-    )
-    parties = spark.range(300_000).select(F.col("id").alias("contract_id"), (F.col("id") + 1).alias("customer_id"))
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
+
+@pytest.fixture
+def skewed(spark):
+    """Sizes at which nothing is broadcast and a hot key counts as skewed."""
+    before = {key: spark.conf.get(key) for key in SKEWED}
+    for key, value in SKEWED.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
         spark.conf.set(key, value)
-    try:
-        bridge = consumption.customer_meter_bridge(parties, parties, meters)
-        assert len(bridge.collect()) == 300_000
-        assert "skew=true" in plan(bridge)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+
+
+METERS = 300_000
+
+
+def owned(spark, column):
+    """Meters of which a third have owner 0."""
+    meter = F.col("id")
+    return spark.range(METERS).select(
+        meter.alias("meter_id"), F.when(meter % 3 == 0, 0).otherwise(meter).alias(column)
+    )
+
+
+def test_a_contract_with_a_third_of_all_meters_is_split(spark, skewed):
+    parties = spark.range(METERS).select(F.col("id").alias("contract_id"), (F.col("id") + 1).alias("customer_id"))
+    bridge = consumption.customer_meter_bridge(parties, parties, owned(spark, "contract_id"))
+    assert len(bridge.collect()) == METERS
+    assert "skew=true" in plan(bridge)
+
+
+def test_a_customer_with_a_third_of_all_meters_is_split(spark, skewed):
+    fact = owned(spark, "customer_id").select(
+        F.lit(20240101).alias("date_id"),
+        "customer_id",
+        F.col("meter_id").alias("contract_id"),
+        "meter_id",
+        F.lit("high").alias("time_of_day"),
+        F.rand(7).alias("consumption"),
+    )
+    customers = spark.range(METERS).select(
+        F.col("id").alias("customer_id"),
+        F.col("id").cast("string").alias("customer_name"),
+        F.lit("commercial").alias("customer_type"),
+    )
+    meters = spark.range(METERS).select(F.col("id").alias("meter_id"), F.lit("less than 6kV").alias("voltage"))
+    days = calendar.calendar(spark)
+    prices = seeds.residential_prices(spark), seeds.business_prices(spark)
+    jobs = [
+        rollups.daily_consumption_by_time_of_day(fact, days, customers, meters),
+        revenue.all_revenue(fact, days, customers, meters, *prices),
+        revenue.monthly_consumption(fact, days, customers, "commercial"),
+    ]
+    for job in jobs:
+        assert len(job.collect()) == METERS
+        assert "skew=true" in plan(job)
+
+
+def test_a_meter_with_a_third_of_all_readings_is_split(spark, skewed):
+    readings = owned(spark, "owner").select(
+        F.col("owner").alias("meter_id"),
+        (F.rand(7) * 1000).alias("measure"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("datetime_measured"),
+    )
+    kinds = spark.range(METERS).select(F.col("id").alias("meter_id"), F.lit("industrial").alias("customer_type"))
+    rows = checks.out_of_range(readings, kinds)
+    assert len(rows.collect()) > 0
+    assert "skew=true" in plan(rows)
