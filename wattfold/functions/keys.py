@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # The hours of day in each time-of-use band; all others are 'normal'.
 HIGH_HOURS = (10, 11, 18, 19, 20)
 LOW_HOURS = (23, 0, 1, 2, 3, 4)
+BANDS = ("normal", "low", "high")
 
 
 def date_id(moment: Column) -> Column:
@@ -22,10 +23,21 @@ def month_id(year: Column, month: Column) -> Column:
     return year * 10000 + month * 100 + 1
 
 
-def time_of_day(moment: Column) -> Column:
-    """Time-of-use band; a NULL moment counts as 'normal'."""
+def band_code(moment: Column) -> Column:
+    """Time-of-use band as a byte, the place of its name in ``BANDS``; a NULL moment is 'normal'."""
     hour = F.hour(moment)
-    return F.when(hour.isin(*HIGH_HOURS), "high").when(hour.isin(*LOW_HOURS), "low").otherwise("normal")
+    code = F.when(hour.isin(*HIGH_HOURS), BANDS.index("high")).when(hour.isin(*LOW_HOURS), BANDS.index("low"))
+    return code.otherwise(BANDS.index("normal")).cast("tinyint")
+
+
+def band_name(code: Column) -> Column:
+    low = F.when(code == BANDS.index("low"), "low")
+    return low.when(code == BANDS.index("high"), "high").otherwise("normal")
+
+
+def time_of_day(moment: Column) -> Column:
+    """Name of the time-of-use band."""
+    return band_name(band_code(moment))
 
 
 def month_bounds(year: int, month: int) -> tuple[int, int]:
