@@ -166,6 +166,12 @@ def test_a_month_can_be_billed_alone(spark, small):
     assert month.count() > 0
 
 
+def test_half_a_month_is_refused(spark, small):
+    bed = Testbed(spark, small)
+    with pytest.raises(ValueError):
+        revenue.month_slice(bed.consumption(), bed.dim_date(), year=2024)
+
+
 def test_preview_is_ordered_and_short(spark, small):
     rows = QUERIES["preview_revenue_top20"](spark, small).collect()
     keys = [(r.customer_id, r.contract_id, r.meter_id, r.date_id) for r in rows]

@@ -21,6 +21,8 @@ def month_slice(fact: DataFrame, dim_date: DataFrame, year: int | None = None, m
 
     The month is also put as a range on ``date_id``, which prunes partitions of the fact.
     """
+    if (year is None) != (month is None):
+        raise ValueError("give both year and month, or neither")
     days = dim_date.select("date_id", "year", "month")
     if year is not None and month is not None:
         fact = fact.where(F.col("date_id").between(*keys.month_bounds(year, month)))

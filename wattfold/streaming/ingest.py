@@ -69,9 +69,9 @@ def read_speed_table(spark: SparkSession, table: str) -> DataFrame:
 def land_csv(messages: DataFrame, folder: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Land messages as CSV files with a header, one folder per day of arrival (``land_day``).
 
-    Lines are landed field by field as they came, so that a bad one is still there to look at.
+    The three fields of a line are landed as text, so that a bad one is still there to look at.
     """
-    fields = F.split(F.col("value").cast("string"), ",", 3)
+    fields = F.split(F.col("value").cast("string"), ",")
     rows = messages.select(
         *[F.get(fields, place).alias(name) for place, name in enumerate(schemas.READING_COLUMNS)],
         F.date_format("timestamp", "yyyyMMdd").alias("land_day"),
