@@ -20,9 +20,9 @@ WORDS, PERCENT = 5, 80
 FILTER_WORDS = 1 << 18
 # Members of a set of equal keys that are compared with all others: first one, then in each round
 # so many times as many as in all before.
-GROWTH = 16
-# Sets that are compared with one other in one task.
-FAN = 2_000
+GROWTH = 64
+# Pairs of sets for which one way of dealing a set's partners to tasks is enough.
+FAN = 100_000
 
 _SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
@@ -154,7 +154,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     near = pairs.join(sides[0], "a").join(sides[1], "b").where(
         _may_link(F.col("n_a"), F.col("n_b"), percent) & (apart <= most) & (F.col("rep_a") != F.col("rep_b"))
     )
-    return near.select("a", "b", "rep_a", "rep_b").distinct()
+    return near.select("a", "b", "rep_a", "rep_b")
 
 
 def _word(column: str) -> tuple[Column, Column]:
@@ -186,10 +186,10 @@ def _linked(spark: SparkSession, docs: DataFrame, near: DataFrame, words: int, p
             )
 
     sets = asked.select("id", "text").mapInArrow(made, "id long, c long, shingles binary")
-    # A set goes to each one it is compared with; one that many are compared with goes to some tasks.
-    fans = near.groupBy("a").agg(F.floor(F.count("*") / F.lit(FAN)).cast("int").alias("fans"))
-    pairs = near.join(fans, "a").withColumn("fan", F.pmod(spread("b"), F.col("fans") + 1).cast("int"))
-    pairs = stored(spark, pairs.select("a", "b", "rep_a", "rep_b", "fan"), "jaccard-pairs")
+    # A set goes to each one it is compared with. The more pairs there are, the more ways partners are
+    # dealt, so that one that a third of all are compared with is in several tasks.
+    fans = 1 + near.count() // FAN
+    pairs = near.withColumn("fan", F.pmod(spread("b"), F.lit(fans)).cast("int"))
     heads = pairs.select("a", "fan", F.col("a").alias("c"), F.col("rep_a").alias("id"), F.lit(0).alias("role"))
     tails = pairs.select("a", "fan", F.col("b").alias("c"), F.col("rep_b").alias("id"), F.lit(1).alias("role"))
     routes = heads.distinct().union(tails)
@@ -213,7 +213,7 @@ def _linked(spark: SparkSession, docs: DataFrame, near: DataFrame, words: int, p
                     right.append(id_)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return routed.select("a", "fan", "role", "id", "shingles").mapInArrow(compared, "a long, b long").distinct()
+    return routed.select("a", "fan", "role", "id", "shingles").mapInArrow(compared, "a long, b long")
 
 
 def similar_documents(
@@ -244,21 +244,25 @@ def similar_documents(
     classes = stored(spark, classes, "jaccard-classes")
     meetings = stored(spark, _meetings(_keys(rows, words, percent)), "jaccard-meetings")
 
+    heads = meetings.select("key", F.col("pivot").alias("c"), F.col("pivot_n").alias("n"))
+    members = stored(
+        spark, heads.groupBy("key").agg(F.first("c").alias("c"), F.first("n").alias("n")).union(
+            meetings.select("key", "c", "n")), "jaccard-members",
+    )
     compared, links, found = 1, None, None
     pairs = meetings.where(_may_link(F.col("n"), F.col("pivot_n"), percent)).select(
         F.col("pivot").alias("a"), F.col("c").alias("b")
     )
-    while pairs is not None:
+    while True:
         near = stored(spark, _near(pairs.distinct(), classes, percent), "jaccard-near")
         new = _linked(spark, rows, near, words, percent)
         links = stored(spark, new if links is None else links.union(new), "jaccard-links")
         found = components(spark, links)
-        members = _open_groups(spark, meetings, classes, found, compared)
-        pairs = None
-        if not members.isEmpty():
-            last = compared + compared * GROWTH
-            pairs = _later_pairs(members, compared, last, percent)
-            compared = last
+        left = _open_groups(spark, members, classes, found, compared)
+        if left.isEmpty():
+            break
+        last = compared + compared * GROWTH
+        pairs, compared = _later_pairs(left, compared, last, percent), last
     found = found.withColumnRenamed("id", "rep")
     named = classes.select("n", "c", "c2", "rep").join(found, "rep", "left")
     named = named.select("n", "c", "c2", F.coalesce("component", "rep").alias("component_id"))
@@ -270,21 +274,21 @@ def similar_documents(
 
 
 def _open_groups(
-    spark: SparkSession, meetings: DataFrame, classes: DataFrame, found: DataFrame, compared: int
+    spark: SparkSession, members: DataFrame, classes: DataFrame, found: DataFrame, compared: int
 ) -> DataFrame:
-    """Members of the groups that have pairs neither compared nor within one component."""
+    """Members of the groups that have pairs neither compared nor within one component, with sketches."""
     found = found.withColumnRenamed("id", "rep")
-    labels = classes.select("c", "rep").join(found, "rep", "left")
-    labels = labels.select("c", F.coalesce("component", "rep").alias("label")).groupBy("c").agg(F.min("label").alias("label"))
-    heads = meetings.select("key", F.col("pivot").alias("c"), F.col("pivot_n").alias("n")).distinct()
-    members = heads.union(meetings.select("key", "c", "n")).join(labels, "c")
+    labels = classes.join(found, "rep", "left").groupBy("c").agg(
+        F.min(F.coalesce("component", "rep")).alias("label"), *[F.first(name).alias(name) for name in _SKETCH]
+    )
+    labels = stored(spark, labels, "jaccard-labels")
+    members = members.join(labels.select("c", "label"), "c").repartition("key")
     open_keys = members.groupBy("key").agg(
         F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most")
     )
     open_keys = open_keys.where((F.col("size") > compared + 1) & (F.col("least") != F.col("most"))).select("key")
-    members = members.join(open_keys, "key", "left_semi")
-    sketches = classes.groupBy("c").agg(*[F.first(name).alias(name) for name in _SKETCH])
-    return stored(spark, members.join(sketches, "c"), "jaccard-open")
+    members = members.join(open_keys, "key", "left_semi").drop("label")
+    return stored(spark, members.join(labels, "c"), "jaccard-open")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
