@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows that one task orders for a running sum.
 CHUNK_ROWS = 50_000
 # Bytes of text that a Python worker turns into words at once.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 
 def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:

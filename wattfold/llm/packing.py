@@ -34,9 +34,9 @@ def token_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        turn = encoder(tokenizer)
         for block in text_blocks(batches, "text"):
-            ids, at = encode(block.column("text").to_pylist(), END_ID)
+            ids, at = turn.encode(block.column("text").to_pylist(), END_ID)
             sizes = np.diff(at)
             pieces = -(-sizes // capacity)
             row = np.repeat(np.arange(len(sizes)), pieces)
@@ -54,6 +54,7 @@ def token_pieces(
                  pa.array(length, pa.int64()), values],
                 ["id", "piece", "start", "length", "ids"],
             )
+        turn.trim()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
 

@@ -192,7 +192,7 @@ def write_token_files(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, place = TaskContext.get().partitionId(), 0
-        turn = encoder(tokenizer).encode
+        turn = encoder(tokenizer)
         doc_ids, counts, ids, held = [], [], [], 0
 
         def record() -> pa.RecordBatch:
@@ -200,7 +200,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
 
         for block in text_blocks(batches, "text"):
-            found, at = turn(block.column("text").to_pylist(), END_ID)
+            found, at = turn.encode(block.column("text").to_pylist(), END_ID)
             doc_ids += block.column("id").to_pylist()
             counts.append(np.diff(at))
             ids.append(found)
@@ -208,6 +208,7 @@ def write_token_files(
             if held >= RECORD_IDS:
                 yield record()
                 doc_ids, counts, ids, held, place = [], [], [], 0, place + 1
+        turn.trim()
         if doc_ids:
             yield record()
 

@@ -23,8 +23,10 @@ from itertools import chain
 
 import numpy as np
 
-# Parts whose ids a worker keeps, each about 150 bytes; beyond that it starts anew.
+# Parts whose ids a worker keeps, each about 150 bytes; beyond that it forgets those met only once.
 CACHED_PARTS = 700_000
+# Parts that it keeps between tasks, when other work needs the memory.
+KEPT_PARTS = 200_000
 
 # White space other than space and line feed; two blanks in a row.
 _OTHER = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -70,8 +72,33 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.sizes = np.zeros(1 << 14, np.int64)
+        self.met = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def trim(self, most: int = KEPT_PARTS) -> None:
+        """Keep at most so many parts: those met more than once, or more often if those are too many."""
+        if len(self.known) <= most:
+            return
+        met = self.met[: len(self.known)]
+        least = 2
+        while (met >= least).sum() > most:
+            least *= 2
+        keep = np.flatnonzero(met >= least)
+        chosen = set(keep.tolist())
+        parts = [part for number, part in enumerate(self.known) if number in chosen]
+        ids, sizes = self._gather(keep)
+        self._forget()
+        self.known.update(zip(parts, range(len(parts)), strict=True))
+        self._make_room()
+        self._store(parts, ids, sizes)
+
+    def _make_room(self) -> None:
+        """A place for every part that has a number."""
+        while len(self.known) > len(self.starts):
+            for name in ("starts", "sizes", "met"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+
     def parts(self, text: str) -> list[str]:
         if self.word_ends:
             return _BLANKS.findall(text) if _NOT_ASCII_BLANK.search(text) else text.split()
@@ -129,9 +156,7 @@ class Encoder:
         for part in known.waiting:  # words and marks met only together so far
             (words if _WORD.fullmatch(part) else rest).append(part)
         known.waiting = []
-        while len(known) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        self._make_room()
         spaced = [word for word in words if self.word_ends or word[0] == " "]
         self._learn_words(spaced)
         self._learn_any(rest if self.word_ends else rest + [word for word in words if word[0] != " "])
@@ -150,12 +175,14 @@ class Encoder:
         """
         cuts = [self.parts(text) if text else [] for text in texts]
         if len(self.known) > CACHED_PARTS:
-            self._forget()
+            self.trim(CACHED_PARTS // 2)
         counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
         number = self.known.__getitem__
         numbers = np.fromiter(map(number, chain.from_iterable(cuts)), np.int64, int(counts.sum()))
         if self.known.waiting:
             self._learn()
+        seen = np.bincount(numbers)
+        self.met[: len(seen)] += seen
         flat, sizes = self._gather(numbers)
         at = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
         if end_id is not None:
