@@ -13,17 +13,23 @@ SLAB_BOUNDS = (50, 100, 200, 300, 400)
 
 
 def price_by_tier(prices: DataFrame) -> Column:
-    """The slab prices as one map value, read through a scalar subquery.
+    """The slab prices in order of their tiers as one array, read through a scalar subquery.
 
-    Spark runs the subquery once and hands its value to the tasks, so no price passes
-    through Python. A repeated tier raises, because a map key must be unique.
+    Spark runs the subquery once and hands its value to the tasks, so no price passes through
+    Python. Any list but one price for each tier raises.
     """
-    return prices.select(F.map_from_entries(F.collect_list(F.struct("tier", "price")))).scalar()
+    tiers = range(1, len(SLAB_BOUNDS) + 2)
+    complete = F.count("*") == len(tiers)
+    for tier in tiers:
+        complete = complete & (F.count(F.when(F.col("tier") == tier, F.col("price"))) == 1)
+    rates = F.array(*[F.max(F.when(F.col("tier") == tier, F.col("price"))) for tier in tiers])
+    wrong = F.raise_error(F.lit(f"slab prices must be one for each tier from 1 to {len(tiers)}"))
+    return prices.agg(F.when(complete, rates).otherwise(wrong).alias("rates")).scalar()
 
 
 def slab_rates(by_tier: Column) -> list[Column]:
     """The price of each slab, by its tier number."""
-    return [by_tier[F.lit(tier)] for tier in range(1, len(SLAB_BOUNDS) + 2)]
+    return [by_tier[F.lit(tier)] for tier in range(len(SLAB_BOUNDS) + 1)]
 
 
 def slab_charge(usage: Column, rates: Sequence[Column]) -> Column:

@@ -118,8 +118,14 @@ def contracts_for_customers(customers: DataFrame) -> DataFrame:
 
 
 def meters_for_contracts(contracts: DataFrame, meter_count: Column) -> DataFrame:
-    """``meter_count`` meters per contract (at most five), with ids that leave room for five."""
-    numbered = contracts.select("contract_id", F.explode(F.sequence(F.lit(1), meter_count)).alias("k"))
+    """``meter_count`` meters per contract, with ids that leave room for five.
+
+    None for a count below one; a count above five raises, as ids would meet those of the next contract.
+    """
+    too_many = F.raise_error(F.lit("a contract has at most five meters")).cast("int")
+    last = F.when(meter_count > 5, too_many).otherwise(meter_count.cast("int"))
+    some = contracts.where(meter_count >= 1)
+    numbered = some.select("contract_id", F.explode(F.sequence(F.lit(1), last)).alias("k"))
     contract = F.col("contract_id")
     return numbered.select(
         ((contract - 1) * 5 + F.col("k")).alias("meter_id"),

@@ -6,6 +6,7 @@ dimensions and the two facts. Every job can be run again for the same day, month
 
 from __future__ import annotations
 
+from calendar import monthrange
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -82,10 +83,19 @@ def load_consumption(
 
 
 def load_revenue(spark: SparkSession, warehouse: str, year: int, month: int, version: str) -> None:
-    """The bills of all segments for one month, with the given version of the dimensions."""
+    """The bills of all segments for one month, with the given version of the dimensions.
+
+    Refused before anything is written if the stored calendar lacks a day of the month, since bills
+    and roll-ups would lose that day's readings.
+    """
+    days = spark.read.parquet(f"{warehouse}/dim_date")
+    month_id = year * 100 + month
+    there = days.where(F.floor(F.col("date_id") / 100) == month_id).select("date_id").distinct().count()
+    if there != monthrange(year, month)[1]:
+        raise ValueError(f"dim_date covers {there} days of {year}-{month:02d}; load a calendar that has them all")
     bills = revenue.all_revenue(
         spark.read.parquet(f"{warehouse}/fact_power_consumption"),
-        spark.read.parquet(f"{warehouse}/dim_date"),
+        days,
         sinks.read_version(spark, f"{warehouse}/dim_customer", version),
         sinks.read_version(spark, f"{warehouse}/dim_electric_meter", version),
         seeds.residential_prices(spark),

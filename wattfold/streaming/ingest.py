@@ -25,6 +25,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     valid: Column = F.lit(True)
     for name in schemas.READING_COLUMNS:
         valid = valid & F.col(name).isNotNull()
+    measure = F.col("measure").cast("double")
+    valid = valid & F.coalesce(~F.isnan(measure) & (F.abs(measure) != float("inf")), F.lit(False))
     return parsed.withColumn("valid", valid).withColumn("raw", F.when(~F.col("valid"), F.col("raw")))
 
 
