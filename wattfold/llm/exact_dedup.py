@@ -7,26 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm.common import stored
+from wattfold.llm.common import spread, stored
 
 # Characters of the prefix that is hashed in the second step.
 PREFIX = 64
+# Rows of a length, a prefix or a text meet in so many parts, told by their ids, so that a value
+# that a third of all rows have is never one task's alone.
+PARTS = 64
 
 
 def _content(text_col: str) -> Column:
     return F.coalesce(F.col(text_col), F.lit(""))
 
 
-def _steps(text_col: str) -> tuple[Column, Column]:
+def _steps(id_col: str, text_col: str) -> tuple[Column, Column, Column]:
     text = _content(text_col)
-    return F.octet_length(text).alias("__length"), F.xxhash64(F.substring(text, 1, PREFIX)).alias("__prefix")
+    return (
+        F.octet_length(text).alias("__length"),
+        F.xxhash64(F.substring(text, 1, PREFIX)).alias("__prefix"),
+        (spread(id_col) % PARTS).cast("int").alias("__part"),
+    )
+
+
+def _repeated(spark: SparkSession, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Values of ``keys`` that more than one row has, with each part that such a row is in."""
+    parts = rows.groupBy(*keys, "__part").agg(F.count("*").alias("__rows"))
+    parts = stored(spark, parts, "dedup-parts")
+    several = parts.groupBy(*keys).agg(F.sum("__rows").alias("__all")).where("__all > 1")
+    return parts.join(several, keys, "left_semi").drop("__rows")
 
 
 def _surviving(spark: SparkSession, signs: DataFrame) -> DataFrame:
     """Lengths and prefix hashes that more than one row has, of the lengths that more than one row has."""
-    lengths = signs.groupBy("__length").count().where("count > 1").select("__length")
-    several = signs.join(lengths, "__length", "left_semi").groupBy("__length", "__prefix").count().where("count > 1")
-    return stored(spark, several.select("__length", "__prefix"), "dedup-groups")
+    lengths = _repeated(spark, signs, ["__length"])
+    rows = signs.join(lengths, ["__length", "__part"], "left_semi")
+    return stored(spark, _repeated(spark, rows, ["__length", "__prefix"]), "dedup-groups")
 
 
 def _hash(text: Column) -> Column:
@@ -35,27 +50,29 @@ def _hash(text: Column) -> Column:
 
 def _classified(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str]) -> DataFrame:
     """``__id, carry, keep_id, group_size, kept`` and the full hash, null where none was needed."""
-    length, prefix = _steps(text_col)
-    rows = docs.select(F.col(id_col).alias("__id"), *carry, length, prefix)
+    steps = _steps(id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("__id"), *carry, *steps)
     signs = stored(spark, rows, "dedup-signs")
     groups = _surviving(spark, signs)
     read = docs.select(
-        F.col(id_col).alias("__id"), _content(text_col).alias("__text"), *carry, length, prefix
-    ).join(groups, ["__length", "__prefix"], "left_semi")
+        F.col(id_col).alias("__id"), _content(text_col).alias("__text"), *carry, *steps
+    ).join(groups, ["__length", "__prefix", "__part"], "left_semi")
     hashed = stored(
-        spark, read.select("__id", *carry, _hash(F.col("__text")).alias("__hash")), "dedup-hashes"
+        spark, read.select("__id", *carry, "__part", _hash(F.col("__text")).alias("__hash")), "dedup-hashes"
     )
-    best = hashed.groupBy("__hash").agg(F.max("__id").alias("keep_id"), F.count("*").alias("group_size"))
     # Rows equal in text and id: one row for each, with how many there are.
-    alike = hashed.groupBy("__hash", "__id").agg(
+    alike = hashed.groupBy("__hash", "__part", "__id").agg(
         F.count("*").alias("__times"), *[F.first(name).alias(name) for name in carry]
     )
-    found = alike.join(best, "__hash")
+    parts = hashed.groupBy("__hash", "__part").agg(F.max("__id").alias("__most"), F.count("*").alias("__rows"))
+    parts = stored(spark, parts, "dedup-parts")
+    best = parts.groupBy("__hash").agg(F.max("__most").alias("keep_id"), F.sum("__rows").alias("group_size"))
+    found = alike.join(parts.select("__hash", "__part").join(best, "__hash"), ["__hash", "__part"])
     first = F.col("__id").eqNullSafe(F.col("keep_id"))
     found = found.withColumn("__copy", F.explode(F.expr("sequence(1L, __times)"))).select(
         "__id", *carry, "keep_id", "group_size", (first & (F.col("__copy") == 1)).alias("kept"), "__hash"
     )
-    alone = signs.join(groups, ["__length", "__prefix"], "left_anti").select(
+    alone = signs.join(groups, ["__length", "__prefix", "__part"], "left_anti").select(
         "__id", *carry, F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.lit(None).cast("binary").alias("__hash"),
     )
@@ -71,8 +88,8 @@ def exact_duplicates(
     equal texts the row with the largest id stays (null ids come before all others); of rows equal in
     text and id, one. Null counts as empty. Texts are grouped by length, then by the hash of their
     first characters; only those still in a group with others are read in full and hashed with
-    SHA-256. Rows of a group are counted where they lie before they move, and no group is ever
-    gathered. Columns that are neither named nor carried are not looked at.
+    SHA-256. Rows of a group are counted where they lie before they move, groups meet in parts, and
+    none is ever gathered. Columns that are neither named nor carried are not looked at.
     """
     rows = _classified(spark, docs, id_col, text_col, carry)
     return rows.select(F.col("__id").alias(id_col), *carry, "keep_id", "group_size", "kept")
