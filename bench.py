@@ -1,4 +1,4 @@
-"""Time the headline queries; prints one JSON line.
+"""Time the registered queries of the metering jobs; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the folder of tables and ``BENCH_CPUS`` the number of cores.
 """
@@ -13,38 +13,6 @@ import time
 from wattfold.plans.catalog import QUERIES
 from wattfold.settings import build_session
 
-HEADLINE = [
-    "fact_power_consumption",
-    "customer_meter_bridge",
-    "view_daily_total_consumption",
-    "view_daily_consumption_by_customer",
-    "view_daily_consumption_by_customer_type",
-    "view_daily_consumption_by_location",
-    "view_daily_consumption_by_meter",
-    "view_daily_consumption_by_time_of_day",
-    "revenue_residential",
-    "revenue_residential_slab",
-    "revenue_commercial",
-    "revenue_industrial",
-    "fact_revenue",
-    "view_monthly_total_revenue",
-    "view_monthly_revenue_by_customer",
-    "view_monthly_revenue_by_customer_type",
-    "preview_revenue_top20",
-    "upsert_dim_customer",
-    "upsert_dim_contract",
-    "upsert_dim_meter",
-    "check_pk_duplicates",
-    "check_fk_orphans",
-    "load_band_check",
-    "reading_grid_gaps",
-    "parse_reading_payload",
-    "scan_readings_csv",
-    "stream_ingest_readings",
-    "stream_dedup_readings",
-]
-
-
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -56,7 +24,7 @@ def main() -> None:
     }
     spark = build_session("wattfold-bench", f"local[{cpus}]", settings)
     spark.sparkContext.setLogLevel("ERROR")
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:] or list(QUERIES)
     # One untimed query loads classes and compiles common code.
     QUERIES["fact_power_consumption"](spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}

@@ -1,7 +1,7 @@
 """Submit one job of the pipeline: ``spark-submit run_job.py JOB --option value ...``.
 
-Operational tables are parquet folders ``customer``, ``contract`` and ``electric_meter`` under
-``--operational``. Streams read the queue at ``--servers`` and need Spark's Kafka connector.
+Operational tables are parquet folders ``customer``, ``contract``, ``electric_meter`` and the three
+price lists under ``--operational``. Streams read the queue at ``--servers`` and need Spark's Kafka connector.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from wattfold.operators import calendar
 from wattfold.plans import jobs
 from wattfold.settings import build_session
-from wattfold.sources import queue
+from wattfold.sources import queue, seeds
 
 # The operational table that feeds each dimension.
 SOURCES = {"dim_customer": "customer", "dim_contract": "contract", "dim_electric_meter": "electric_meter"}
@@ -38,17 +38,24 @@ def parser() -> argparse.ArgumentParser:
     dimension = command("dimension", "warehouse", "operational", "version")
     dimension.add_argument("--name", choices=sorted(SOURCES), required=True)
     dimension.add_argument("--previous")
+    dimension.add_argument("--today", type=date.fromisoformat, help="the day that rows without a date are given")
+
+    command("check", "operational")
+    command("seed-prices", "operational")
 
     consumption = command("consumption", "warehouse", "operational", "landed")
     consumption.add_argument("--day", type=date.fromisoformat, required=True)
 
-    revenue = command("revenue", "warehouse", "version")
+    revenue = command("revenue", "warehouse", "operational", "version")
     revenue.add_argument("--year", type=int, required=True)
     revenue.add_argument("--month", type=int, required=True)
 
     for name in ("speed", "landing"):
         stream = command(name, "servers", "topic", "out", "checkpoint")
         stream.add_argument("--interval", help="time between batches; without it the stream stops at the end")
+        stream.add_argument("--max-per-batch", default="10000000", help="messages that one batch takes at most")
+        if name == "landing":
+            stream.add_argument("--zone", help="time zone of the landing day; the session's without it")
     return top
 
 
@@ -57,17 +64,31 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         jobs.load_calendar(spark, given.warehouse, given.first, given.last)
     elif given.job == "dimension":
         source = spark.read.parquet(f"{given.operational}/{SOURCES[given.name]}")
-        left_out = jobs.load_dimension(spark, source, given.warehouse, given.name, given.version, given.previous)
+        if given.name == "dim_electric_meter":
+            source, unknown = jobs.placed_meters(source, seeds.provinces(spark))
+            print(f"{given.name}: {unknown} place names are unknown")
+        left_out = jobs.load_dimension(
+            spark, source, given.warehouse, given.name, given.version, given.previous, given.today
+        )
         print(f"{given.name}: {left_out} source rows without a key were left out")
     elif given.job == "consumption":
         parties = [spark.read.parquet(f"{given.operational}/{name}") for name in SOURCES.values()]
-        jobs.load_consumption(spark, given.landed, given.day, *parties, given.warehouse)
+        print(jobs.load_consumption(spark, given.landed, given.day, *parties, given.warehouse))
+    elif given.job == "check":
+        parties = [spark.read.parquet(f"{given.operational}/{name}") for name in SOURCES.values()]
+        print(jobs.check_operational(*parties))
+    elif given.job == "seed-prices":
+        jobs.seed_prices(spark, given.operational)
     elif given.job == "revenue":
-        jobs.load_revenue(spark, given.warehouse, given.year, given.month, given.version)
+        prices = jobs.read_prices(spark, given.operational)
+        jobs.load_revenue(spark, given.warehouse, given.year, given.month, given.version, prices)
     else:
-        start = {"speed": jobs.start_speed_layer, "landing": jobs.start_landing}[given.job]
-        messages = queue.read_messages(spark, given.servers, given.topic)
-        start(messages, given.out, given.checkpoint, given.interval).awaitTermination()
+        messages = queue.read_messages(spark, given.servers, given.topic, maxOffsetsPerTrigger=given.max_per_batch)
+        if given.job == "speed":
+            stream = jobs.start_speed_layer(messages, given.out, given.checkpoint, given.interval)
+        else:
+            stream = jobs.start_landing(messages, given.out, given.checkpoint, given.interval, zone=given.zone)
+        stream.awaitTermination()
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wattfold.functions import tariff
 from wattfold.operators import dimensions
 from wattfold.plans import jobs
+from wattfold.plans.catalog import QUERIES
 from wattfold.streaming import ingest
 
 
@@ -16,12 +17,14 @@ def test_a_month_outside_the_calendar_leaves_bills_alone(spark, folder):
     jobs.load_calendar(spark, folder)
     bills = f"{folder}/fact_revenue/date_id=20250601"
     spark.range(3).write.parquet(bills)
+    jobs.seed_prices(spark, folder)
+    prices = jobs.read_prices(spark, folder)
     with pytest.raises(ValueError, match="2025-06"):
-        jobs.load_revenue(spark, folder, 2025, 6, "v")
+        jobs.load_revenue(spark, folder, 2025, 6, "v", prices)
     assert spark.read.parquet(bills).count() == 3 and os.listdir(bills)
     jobs.load_calendar(spark, folder, date(2025, 6, 1), date(2025, 6, 30))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # the calendar is no obstacle now, the fact is missing
-        jobs.load_revenue(spark, folder, 2025, 6, "v")
+        jobs.load_revenue(spark, folder, 2025, 6, "v", prices)
 
 
 @pytest.mark.parametrize("tiers", [[1, 3, 4, 5, 6], [1, 2, 3, 4, 5, 6, 7], [1, 2, 2, 3, 4, 5, 6], [1, 2, 3, 4, 5, None]])
@@ -42,6 +45,30 @@ def test_meters_for_any_count(spark):
         dimensions.meters_for_contracts(contracts, F.col("n") + 1).collect()
 
 
+@pytest.mark.parametrize("session_zone", ["UTC", "Asia/Ho_Chi_Minh", "America/New_York"])
+def test_delay_and_landing_day_do_not_depend_on_the_session_zone(spark, folder, session_zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        # Measured at 23:30 seven hours east of UTC, arrived 250 ms later.
+        sent = spark.sql("SELECT CAST('1,1.0,2024-01-01 23:30:00' AS BINARY) AS value, TIMESTAMP '2024-01-01 16:30:00.25Z' AS timestamp")
+        delays = ingest.ingest_delay(ingest.parse_messages(sent), F.col("timestamp"), "Asia/Ho_Chi_Minh")
+        assert [row.delay_ms for row in delays.collect()] == [250]
+        sent.write.parquet(f"{folder}/topic")
+        messages = spark.readStream.schema(sent.schema).parquet(f"{folder}/topic")
+        jobs.start_landing(messages, f"{folder}/files", f"{folder}/checkpoint", None, zone="Asia/Ho_Chi_Minh").awaitTermination()
+        assert "land_day=20240101" in os.listdir(f"{folder}/files")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_readings_are_neither_broadcast_nor_shuffled_for_their_load_factor(spark, small):
+    for name in ("load_factor", "load_band_check"):
+        rows = QUERIES[name](spark, small)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BuildRight" in plan and "BuildLeft" not in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_only_finite_measures_are_valid(spark):
     lines = [f"1,{measure},2024-01-01 00:00:00" for measure in ("2.5", "NaN", "Infinity", "-Infinity")]
     messages = spark.createDataFrame([(line,) for line in lines], "value string")

@@ -6,10 +6,12 @@ from collections import Counter
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from rows import bag, table
 
 import run_job
 from wattfold.plans import jobs
+from wattfold.streaming import ingest
 
 DAY = date(2023, 7, 2)
 
@@ -57,8 +59,9 @@ def test_pipeline(spark, folder, operational):
         jobs.load_consumption(
             spark, f"{folder}/readings_{{day}}*.csv", land_day, customers, contracts, meters, warehouse
         )
+    jobs.seed_prices(spark, folder)
     for _ in range(2):
-        jobs.load_revenue(spark, warehouse, 2023, 7, "b")
+        jobs.load_revenue(spark, warehouse, 2023, 7, "b", jobs.read_prices(spark, folder))
     assert len(jobs.serve_views(spark, warehouse, "b")) == 9
     assert bag(spark.table("daily_total_consumption")) == Counter([(1, 7, 2023, 110.0), (2, 7, 2023, 1.0)])
     bills = bag(spark.table("monthly_revenue_by_customer"), "customer_id", "month", "year", "revenue")
@@ -79,16 +82,21 @@ def test_jobs_by_command(spark, folder, operational, capsys):
     land(folder, "readings_20230702000000.csv", "100,40,2023-07-01 12:30:00", "200,1,2023-07-02 23:00:00")
 
     def run(command, *options):
-        run_job.run(spark, run_job.parser().parse_args([command, "--warehouse", warehouse, *options]))
+        run_job.run(spark, run_job.parser().parse_args([command, *options]))
 
-    run("calendar", "--last", "2024-12-31")
+    run("seed-prices", "--operational", tables)
+    run("check", "--operational", tables)
+    out, source = ["--warehouse", warehouse], ["--operational", tables]
+    run("calendar", *out, "--last", "2024-12-31")
     for name in run_job.SOURCES:
-        run("dimension", "--operational", tables, "--version", "a", "--name", name)
-    run("consumption", "--operational", tables, "--landed", f"{folder}/readings_{{day}}*.csv", "--day", "2023-07-02")
-    run("revenue", "--version", "a", "--year", "2023", "--month", "7")
+        run("dimension", *out, *source, "--version", "a", "--name", name, "--today", "2023-07-03")
+    run("consumption", *out, *source, "--landed", f"{folder}/readings_{{day}}*.csv", "--day", "2023-07-02")
+    run("revenue", *out, *source, "--version", "a", "--year", "2023", "--month", "7")
     bills = bag(spark.read.parquet(f"{warehouse}/fact_revenue"), "date_id", "meter_id", "revenue", "customer_type")
     assert bills == Counter([(20230701, 100, 40 * 1806.0, "residential"), (20230701, 200, 1746.0, "commercial")])
-    assert "dim_customer: 0 source rows" in capsys.readouterr().out
+    said = capsys.readouterr().out
+    assert "dim_customer: 0 source rows" in said and "Landed(billed=2, bad=0, unknown=0)" in said
+    assert "dim_electric_meter: 2 place names" not in said and "'meters without a contract': 0" in said
 
 
 def test_landing_stream_feeds_the_daily_job(spark, folder, operational):
@@ -114,6 +122,70 @@ def test_a_version_is_not_overwritten_by_itself(spark, folder, operational):
         jobs.load_dimension(spark, operational[0], folder, "dim_customer", "a", previous="a")
 
 
+def test_every_landed_line_is_accounted_for(spark, folder, operational):
+    lines = ["100,1,2023-07-01 12:00:00", "100,2,2023-07-01 12:30:00", "999,5,2023-07-01 10:00:00", "999,5,2023-07-01 11:00:00",
+             "x,1,2023-07-01 12:00:00", "100,NaN,2023-07-01 12:00:00", "100,1,yesterday", "100"]
+    land(folder, "readings_20230702000000.csv", *lines)
+    for _ in range(2):
+        counts = jobs.load_consumption(spark, f"{folder}/readings_{{day}}*.csv", DAY, *operational, f"{folder}/w")
+        assert counts == (2, 4, 2)
+    bad = spark.read.parquet(f"{folder}/w/bad_readings")
+    assert Counter(row.datetime_measured for row in bad.collect())["yesterday"] == 1
+    assert bag(spark.read.parquet(f"{folder}/w/unknown_meters"), "meter_id", "readings") == Counter([(999, 2)])
+    assert spark.read.parquet(f"{folder}/w/fact_power_consumption").where("date_id IS NULL").isEmpty()
+
+
+def test_repeated_keys_are_refused(spark, folder, operational):
+    customers, contracts, meters = operational
+    with pytest.raises(ValueError, match="electric_meter has 2 keys"):
+        jobs.load_consumption(spark, f"{folder}/r_{{day}}.csv", DAY, customers, contracts, meters.union(meters), folder)
+    orphans = jobs.check_operational(customers.limit(0), contracts, meters)
+    assert orphans == {"contracts without a customer": 2, "meters without a contract": 0}
+
+
+def test_a_changed_price_changes_the_bill(spark, folder, operational):
+    warehouse = f"{folder}/warehouse"
+    jobs.load_calendar(spark, warehouse)
+    jobs.load_dimension(spark, operational[0], warehouse, "dim_customer", "a")
+    jobs.load_dimension(spark, operational[2], warehouse, "dim_electric_meter", "a")
+    land(folder, "readings_20230702000000.csv", "100,10,2023-07-01 12:30:00", "200,1,2023-07-01 23:00:00")
+    jobs.load_consumption(spark, f"{folder}/readings_{{day}}*.csv", DAY, *operational, warehouse)
+    jobs.seed_prices(spark, folder)
+    seeded = jobs.read_prices(spark, folder)
+    dearer = jobs.Prices(*[prices.withColumn("price", F.col("price") + 1) for prices in seeded])
+    for prices, home, shop in ((seeded, 18060.0, 1746.0), (dearer, 18070.0, 1747.0)):
+        jobs.load_revenue(spark, warehouse, 2023, 7, "a", prices)
+        bills = bag(spark.read.parquet(f"{warehouse}/fact_revenue"), "meter_id", "revenue")
+        assert bills == Counter([(100, home), (200, shop)])
+    twice = seeded._replace(commercial=seeded.commercial.union(seeded.commercial))
+    with pytest.raises(ValueError, match="price list"):
+        jobs.load_revenue(spark, warehouse, 2023, 7, "a", twice)
+
+
+def test_dates_and_places_are_filled_in(spark, folder, operational):
+    known = table(spark, "location string, iso_code string, latitude double, longitude double", ("Huế", "VN-26", 1.0, 2.0))
+    bare = operational[2].withColumns({"iso_code": F.lit(None).cast("string"), "updated_date": F.lit(None).cast("date")})
+    bare = bare.withColumn("location", F.when(F.col("meter_id") == 100, F.col("location")).otherwise("Atlantis"))
+    placed, unknown = jobs.placed_meters(bare, known)
+    assert unknown == 1
+    jobs.load_dimension(spark, placed, folder, "dim_electric_meter", "a", today=DAY)
+    rows = bag(spark.read.parquet(f"{folder}/dim_electric_meter"), "meter_id", "iso_code", "updated_date")
+    assert rows == Counter([(100, "VN-26", DAY), (200, None, DAY)])
+
+
+def test_both_layers_drop_the_same_repeats(spark, folder, operational):
+    lines = [b"100,1.5,2023-07-01 23:00:00", b"100,2.5,2023-07-02 01:00:00", b"bad"]
+    rows = [(line, datetime(2023, 7, 2, 1)) for line in lines * 2]
+    schema = "value binary, timestamp timestamp_ntz"
+    table(spark, schema, *rows).write.parquet(f"{folder}/topic")
+    messages = lambda: spark.readStream.schema(schema).parquet(f"{folder}/topic")
+    jobs.start_landing(messages(), f"{folder}/landed", f"{folder}/landed-checkpoint", None).awaitTermination()
+    jobs.start_speed_layer(messages(), f"{folder}/speed", f"{folder}/speed-checkpoint", None).awaitTermination()
+    assert jobs.load_consumption(spark, f"{folder}/landed", DAY, *operational, f"{folder}/w") == (2, 1, 0)
+    fact, speed = spark.read.parquet(f"{folder}/w/fact_power_consumption"), ingest.read_speed_table(spark, f"{folder}/speed").where("valid")
+    assert fact.agg(F.sum("consumption")).first()[0] == speed.agg(F.sum("measure")).first()[0] == 4.0
+
+
 def test_speed_layer(spark, folder):
     path = f"{folder}/topic"
     lines = [b"1,1.5,2024-01-01 00:00:00", b"1,1.5,2024-01-01 00:00:00", b"bad"]

@@ -19,11 +19,32 @@ def encode_reading(meter_id: Column, measure: Column, moment: Column) -> Column:
     return F.concat_ws(",", *[F.coalesce(field, F.lit("")) for field in fields])
 
 
-def decode_reading(line: Column) -> tuple[Column, Column, Column]:
-    """Typed columns of a line; a bad or missing field becomes NULL and never fails the job."""
-    fields = F.split(line, ",")
+def decode_fields(meter_id: Column, measure: Column, moment: Column) -> tuple[Column, Column, Column]:
+    """Typed columns of a reading's three texts; a bad or missing one becomes NULL and never fails the job."""
     return (
-        F.get(fields, 0).try_cast("bigint").alias("meter_id"),
-        F.get(fields, 1).try_cast("double").alias("measure"),
-        F.get(fields, 2).try_cast("timestamp_ntz").alias("datetime_measured"),
+        meter_id.try_cast("bigint").alias("meter_id"),
+        measure.try_cast("double").alias("measure"),
+        moment.try_cast("timestamp_ntz").alias("datetime_measured"),
     )
+
+
+def decode_reading(line: Column) -> tuple[Column, Column, Column]:
+    fields = F.split(line, ",")
+    return decode_fields(*[F.get(fields, place) for place in range(3)])
+
+
+def is_valid() -> Column:
+    """Whether a decoded reading has all its fields and a finite measure; never NULL."""
+    measure = F.col("measure").cast("double")
+    finite = F.coalesce(~F.isnan(measure) & (F.abs(measure) != float("inf")), F.lit(False))
+    return F.col("meter_id").isNotNull() & F.col("datetime_measured").isNotNull() & finite
+
+
+def instant(moment: Column, zone: str) -> Column:
+    """The instant of a wall-clock moment in ``zone``, whatever the session's zone is."""
+    return F.concat(moment.cast("timestamp_ntz").cast("string"), F.lit(f" {zone}")).cast("timestamp")
+
+
+def wall_clock(moment: Column, zone: str) -> Column:
+    """What clocks in ``zone`` show at an instant, whatever the session's zone is."""
+    return F.convert_timezone(None, F.lit(zone), moment.cast("timestamp").cast("timestamp_ntz"))

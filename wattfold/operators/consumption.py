@@ -1,7 +1,7 @@
 """Readings to the daily consumption fact.
 
 Keys of the operational tables are taken to be unique, as the data model declares them;
-``checks.duplicate_keys`` is the job that verifies it.
+``checks.duplicate_keys`` verifies it, and the jobs refuse tables that break it.
 """
 
 from __future__ import annotations
@@ -31,23 +31,40 @@ def customer_meter_bridge(customers: DataFrame, contracts: DataFrame, meters: Da
     return meters.select("meter_id", "contract_id").join(owners, "contract_id").select(*schemas.BRIDGE_COLUMNS)
 
 
-def daily_consumption(readings: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Consumption per customer, contract, meter, day and band; unknown meters fall out.
+def meter_days(readings: DataFrame) -> DataFrame:
+    """Consumption and number of readings per meter, day and band.
 
-    A meter has one owner, so summing per meter, day and band before the join gives the same
-    groups. Map-side sums take the weight off a hot meter, and the join carries at most three
-    rows per meter and day. Nearly all readings pass that one exchange, so its rows are kept
-    small: day and band are fixed-width there and get their final form behind it.
+    Map-side sums take the weight off a hot meter. Nearly all readings pass this one exchange, so
+    its rows are kept small: day and band are fixed-width there.
     """
     moment = F.col("datetime_measured")
-    per_meter = (
+    return (
         readings.select("meter_id", "measure", moment.cast("date").alias("day"), keys.band_code(moment).alias("band"))
         .groupBy("meter_id", "day", "band")
-        .agg(F.sum("measure").alias("consumption"))
+        .agg(F.sum("measure").alias("consumption"), F.count(F.lit(1)).alias("readings"))
     )
-    return per_meter.join(bridge, "meter_id").select(
+
+
+def unknown_meters(days: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Meters of ``meter_days`` that the bridge does not know, with the number of their readings."""
+    strange = days.join(bridge.select("meter_id"), "meter_id", "left_anti")
+    return strange.groupBy("meter_id").agg(F.sum("readings").alias("readings"))
+
+
+def owned_consumption(days: DataFrame, bridge: DataFrame) -> DataFrame:
+    """``meter_days`` under the meters' owners, with day and band in their final form."""
+    return days.join(bridge, "meter_id").select(
         keys.date_id(F.col("day")).alias("date_id"),
         *schemas.BRIDGE_COLUMNS,
         keys.band_name(F.col("band")).alias("time_of_day"),
         "consumption",
     )
+
+
+def daily_consumption(readings: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Consumption per customer, contract, meter, day and band; unknown meters fall out.
+
+    A meter has one owner, so summing per meter, day and band before the join gives the same
+    groups, and the join carries at most three rows per meter and day.
+    """
+    return owned_consumption(meter_days(readings), bridge)

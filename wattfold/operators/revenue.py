@@ -86,6 +86,16 @@ def time_of_use_revenue(monthly: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
+def business_prices(commercial: DataFrame, industrial: DataFrame) -> DataFrame:
+    """Both band price lists as one, told apart by ``customer_type``."""
+    lists = ((segments.COMMERCIAL, commercial), (segments.INDUSTRIAL, industrial))
+    first, second = (
+        prices.select(F.lit(segment).alias("customer_type"), "voltage_tier", "time_of_day", "price")
+        for segment, prices in lists
+    )
+    return first.unionByName(second)
+
+
 def all_revenue(
     fact: DataFrame,
     dim_date: DataFrame,

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from wattfold import schemas
 from wattfold.functions import keys, payload, segments
 from wattfold.operators import calendar, checks, consumption, dimensions, places, revenue, rollups
-from wattfold.plans.testbed import EVENT_MONTH, INSERT_DAY, Testbed, as_double
+from wattfold.plans.testbed import INSERT_DAY, Testbed, as_double
 from wattfold.settings import scratch_dir
 from wattfold.sinks import files as file_sinks
 from wattfold.sources import files as file_sources
 from wattfold.sources import seeds
 from wattfold.streaming import ingest
 
+# The zone that meters' clocks are taken to run in.
+METER_ZONE = "Asia/Ho_Chi_Minh"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -310,20 +313,20 @@ def segment_by_contract_range(bed: Testbed) -> DataFrame:
 
 @query
 def load_factor(bed: Testbed) -> DataFrame:
-    rows = checks.with_load_factor(bed.readings(), bed.meter_segments())
+    rows = checks.with_load_factor(bed.readings(), bed.stored(bed.meter_segments(), "meter-segments"))
     return as_double(rows, "measure", "load_factor")
 
 
 @query
 def load_band_check(bed: Testbed) -> DataFrame:
-    rows = checks.out_of_range(bed.readings(), bed.meter_segments())
+    rows = checks.out_of_range(bed.readings(), bed.stored(bed.meter_segments(), "meter-segments"))
     return as_double(rows, "measure", "load_factor", "low", "high")
 
 
 @query
 def reading_grid_gaps(bed: Testbed) -> DataFrame:
     readings = bed.event_readings()
-    return checks.missing_hours(readings, readings.select("meter_id").distinct(), *EVENT_MONTH)
+    return checks.missing_hours(readings, readings.select("meter_id").distinct(), *bed.event_span())
 
 
 # Text forms, files and streams.
@@ -358,7 +361,7 @@ def hourly_csv_partitions(bed: Testbed) -> DataFrame:
 def scan_readings_csv(bed: Testbed) -> DataFrame:
     folder = scratch_dir(bed.spark, "landed-csv")
     file_sinks.write_readings_csv(bed.event_readings(), folder, per="day")
-    return file_sources.read_readings(bed.spark, f"{folder}/land_day=202401*")
+    return file_sources.read_readings(bed.spark, f"{folder}/land_day=*")
 
 
 @query
@@ -388,9 +391,10 @@ def stream_land_csv(bed: Testbed) -> DataFrame:
 
 @query
 def ingest_latency(bed: Testbed) -> DataFrame:
-    """Delay from the instant in the message to the message's own time stamp, per day."""
+    """Delay from the instant in the message to the message's own time stamp, per day, on clocks of one zone."""
     folder = scratch_dir(bed.spark, "latency")
-    delays = ingest.ingest_delay(ingest.parse_messages(bed.messages()), F.col("timestamp"))
+    messages = bed.messages().withColumn("timestamp", payload.instant(F.col("timestamp"), METER_ZONE))
+    delays = ingest.ingest_delay(ingest.parse_messages(messages), F.col("timestamp"), METER_ZONE)
     stream = delays.writeStream.format("parquet").option("path", f"{folder}/delays")
     stream = stream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     stream.start().awaitTermination()

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from calendar import monthrange
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wattfold.operators import calendar, consumption, dimensions, revenue, rollups
+from wattfold import schemas
+from wattfold.functions import payload
+from wattfold.operators import calendar, checks, consumption, dimensions, places, revenue, rollups
 from wattfold.sinks import files as sinks
 from wattfold.sources import files as sources
 from wattfold.sources import seeds
@@ -26,6 +29,56 @@ DIMENSIONS = {
 }
 
 
+class Prices(NamedTuple):
+    """The price tables of the operational store."""
+
+    residential: DataFrame
+    commercial: DataFrame
+    industrial: DataFrame
+
+
+class Landed(NamedTuple):
+    """How many readings of a landing day went into the fact, how many were bad, how many of unknown meters."""
+
+    billed: int
+    bad: int
+    unknown: int
+
+
+def seed_prices(spark: SparkSession, operational: str) -> None:
+    """The three seed price lists as tables of the operational store, in place of those there."""
+    lists = Prices(seeds.residential_prices(spark), seeds.commercial_prices(spark), seeds.industrial_prices(spark))
+    for name, prices in lists._asdict().items():
+        prices.coalesce(1).write.mode("overwrite").parquet(f"{operational}/{name}_price")
+
+
+def read_prices(spark: SparkSession, operational: str) -> Prices:
+    return Prices(*[spark.read.parquet(f"{operational}/{name}_price") for name in Prices._fields])
+
+
+def refuse_duplicates(rows: DataFrame, key: list[str], name: str) -> None:
+    repeated = checks.duplicate_keys(rows, key).count()
+    if repeated:
+        raise ValueError(f"{name} has {repeated} keys that occur more than once")
+
+
+def check_operational(customers: DataFrame, contracts: DataFrame, meters: DataFrame) -> dict[str, int]:
+    """Refuse tables with repeated keys; otherwise how many references of each kind have no parent."""
+    for rows, key, name in ((customers, "customer_id", "customer"), (contracts, "contract_id", "contract"),
+                            (meters, "meter_id", "electric_meter")):
+        refuse_duplicates(rows, [key], name)
+    return {
+        "contracts without a customer": checks.orphans(contracts, customers, "customer_id").count(),
+        "meters without a contract": checks.orphans(meters, contracts, "contract_id").count(),
+    }
+
+
+def placed_meters(meters: DataFrame, known: DataFrame) -> tuple[DataFrame, int]:
+    """Meters with the code and coordinates of their place, and how many place names are unknown."""
+    bare = meters.drop("iso_code", "latitude", "longitude")
+    return places.with_location(bare, known), places.unmatched_locations(meters, known).count()
+
+
 def load_calendar(
     spark: SparkSession, warehouse: str, first: date = calendar.FIRST_DAY, last: date = calendar.LAST_DAY
 ) -> None:
@@ -33,12 +86,16 @@ def load_calendar(
 
 
 def load_dimension(
-    spark: SparkSession, source: DataFrame, warehouse: str, name: str, version: str, previous: str | None = None
-) -> int:
+    spark: SparkSession, source: DataFrame, warehouse: str, name: str, version: str, previous: str | None = None,
+    today: date | None = None,
+) -> int:
     """Write a dimension's next version and return how many source rows had no key.
 
-    Without ``previous`` the dimension starts empty.
+    Without ``previous`` the dimension starts empty. Rows without a date count as changed ``today``;
+    if no day is given, they are left for a run that gives one.
     """
+    if today is not None:
+        source = dimensions.with_default_date(source, today)
     dimension, base = DIMENSIONS[name], f"{warehouse}/{name}"
     if version == previous:
         raise ValueError(f"{name} cannot be read from and written to version {version} at once")
@@ -63,26 +120,42 @@ def load_consumption(
     contracts: DataFrame,
     meters: DataFrame,
     warehouse: str,
-) -> None:
+) -> Landed:
     """One landing day's files into the consumption fact.
 
     ``landed`` is the folder of the landing stream, or a glob over files from elsewhere with
     ``{day}`` where the landing day stands. The files of a landing day may hold readings of
     earlier days, so the fact keeps landing days apart and the roll-ups add them up.
+
+    Every landed line is accounted for: bad ones are stored with their texts under ``bad_readings``,
+    meters that nobody owns under ``unknown_meters``. Tables with repeated keys are refused.
     """
+    check_operational(customers, contracts, meters)
     stamp = land_day.strftime("%Y%m%d")
     if "{day}" in landed:
-        readings = sources.read_readings(spark, landed.replace("{day}", stamp))
+        texts = sources.read_reading_texts(spark, landed.replace("{day}", stamp))
     else:
-        readings = sources.read_landed_day(spark, landed, land_day)
+        texts = sources.read_landed_texts(spark, landed, land_day)
+    names = schemas.READING_COLUMNS
+    kept = texts.select(*payload.decode_fields(*[F.col(name) for name in names]), F.struct(*names).alias("text"))
+    bad, days, strange = (f"{warehouse}/{name}" for name in ("bad_readings", "meter_days", "unknown_meters"))
+    sinks.write_version(kept.where(~payload.is_valid()).select("text.*"), bad, stamp)
+    # Stored, so that its sums are made once for the fact and the counts.
+    sinks.write_version(consumption.meter_days(kept.where(payload.is_valid())), days, stamp)
+    per_meter = sinks.read_version(spark, days, stamp)
     # Stored, so that its size is known to the join with the readings.
     bridges = f"{warehouse}/customer_meter"
     sinks.write_version(consumption.customer_meter_bridge(customers, contracts, meters), bridges, stamp)
-    fact = consumption.daily_consumption(readings, sinks.read_version(spark, bridges, stamp))
+    bridge = sinks.read_version(spark, bridges, stamp)
+    fact = consumption.owned_consumption(per_meter, bridge)
     sinks.replace_slice(fact, f"{warehouse}/fact_power_consumption", "land_day", stamp, "date_id")
+    sinks.write_version(consumption.unknown_meters(per_meter, bridge), strange, stamp)
+    readings = F.coalesce(F.sum("readings"), F.lit(0))
+    unknown = sinks.read_version(spark, strange, stamp).agg(readings).first()[0]
+    return Landed(per_meter.agg(readings).first()[0] - unknown, sinks.read_version(spark, bad, stamp).count(), unknown)
 
 
-def load_revenue(spark: SparkSession, warehouse: str, year: int, month: int, version: str) -> None:
+def load_revenue(spark: SparkSession, warehouse: str, year: int, month: int, version: str, prices: Prices) -> None:
     """The bills of all segments for one month, with the given version of the dimensions.
 
     Refused before anything is written if the stored calendar lacks a day of the month, since bills
@@ -93,13 +166,15 @@ def load_revenue(spark: SparkSession, warehouse: str, year: int, month: int, ver
     there = days.where(F.floor(F.col("date_id") / 100) == month_id).select("date_id").distinct().count()
     if there != monthrange(year, month)[1]:
         raise ValueError(f"dim_date covers {there} days of {year}-{month:02d}; load a calendar that has them all")
+    business = revenue.business_prices(prices.commercial, prices.industrial)
+    refuse_duplicates(business, ["customer_type", "voltage_tier", "time_of_day"], "the price list")
     bills = revenue.all_revenue(
         spark.read.parquet(f"{warehouse}/fact_power_consumption"),
         days,
         sinks.read_version(spark, f"{warehouse}/dim_customer", version),
         sinks.read_version(spark, f"{warehouse}/dim_electric_meter", version),
-        seeds.residential_prices(spark),
-        seeds.business_prices(spark),
+        prices.residential,
+        business,
         year,
         month,
     )
@@ -118,9 +193,18 @@ def serve_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
     )
 
 
-def start_landing(messages: DataFrame, folder: str, checkpoint: str, interval: str | None = "1 hour") -> StreamingQuery:
-    """Messages into CSV files by day of arrival, for the daily job to pick up."""
-    return ingest.land_csv(messages, folder, checkpoint, interval)
+def start_landing(
+    messages: DataFrame, folder: str, checkpoint: str, interval: str | None = "1 hour", delay: str | None = "1 day",
+    zone: str | None = None,
+) -> StreamingQuery:
+    """Messages into CSV files by day of arrival in ``zone``, for the daily job to pick up.
+
+    Repeats are dropped by the rule of the speed layer, so both layers hold the same readings.
+    """
+    if delay is not None:
+        parsed = ingest.parse_messages(messages.withColumn("line", F.col("value")))
+        messages = ingest.drop_repeats(parsed, delay).withColumnRenamed("line", "value")
+    return ingest.land_csv(messages, folder, checkpoint, interval, zone)
 
 
 def start_speed_layer(

@@ -375,7 +375,8 @@ ORACLES: dict[str, str] = {
     ),
     "reading_grid_gaps": _with(
         READINGS,
-        """, hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS hour_missing)
+        """, hours AS (SELECT unnest(generate_series(date_trunc('month', first), date_trunc('month', last) + INTERVAL 1 MONTH - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour_missing
+           FROM (SELECT min(ts) AS first, max(ts) AS last FROM events))
            SELECT m.meter_id, h.hour_missing
            FROM (SELECT DISTINCT meter_id FROM event_readings) m CROSS JOIN hours h
            WHERE NOT EXISTS (SELECT 1 FROM event_readings r

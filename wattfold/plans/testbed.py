@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from wattfold.functions import segments
 from wattfold.functions.payload import encode_reading
+from wattfold.settings import scratch_dir
 from wattfold.operators import calendar as calendar_ops
 from wattfold.operators import consumption, places
 from wattfold.sources import files
 
 CALENDAR = (date(1995, 1, 1), date(2024, 12, 31))
-EVENT_MONTH = (datetime(2024, 1, 1, 0), datetime(2024, 1, 31, 23))
 CUSTOMERS_LOADED_TO = date(2001, 1, 1)
 CONTRACTS_LOADED_TO = date(1998, 1, 1)
 METERS_LOADED_TO = date(2001, 7, 1)
@@ -50,6 +50,20 @@ class Testbed:
     def table(self, name: str) -> DataFrame:
         return files.read_table(self.spark, self.folder, name, SCHEMAS[name])
 
+    def stored(self, rows: DataFrame, label: str) -> DataFrame:
+        """The rows as a table, so that their size is known to a join."""
+        folder = scratch_dir(self.spark, label)
+        rows.write.parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
+    def event_span(self) -> tuple[datetime, datetime]:
+        """The first and last hour of the months that the events are in; without events, any hour."""
+        at = F.col("ts")
+        last = F.expr("date_trunc('month', max(ts)) + INTERVAL 1 MONTH - INTERVAL 1 HOUR").cast("timestamp_ntz")
+        first = F.date_trunc("month", F.min(at)).cast("timestamp_ntz")
+        span = self.table("events").agg(first.alias("first"), last.alias("last")).first()
+        return (span.first, span.last) if span.first is not None else (datetime(2000, 1, 1),) * 2
+
     def event_readings(self) -> DataFrame:
         return self.table("events").select(
             F.col("user_id").alias("meter_id"),

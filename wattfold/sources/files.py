@@ -15,14 +15,20 @@ def read_readings(spark: SparkSession, path_glob: str) -> DataFrame:
     return spark.read.schema(schemas.READING).csv(path_glob, header=True)
 
 
-def read_landed_day(spark: SparkSession, folder: str, land_day: date) -> DataFrame:
-    """One landing day out of the folder that the landing stream writes.
+def read_reading_texts(spark: SparkSession, path_glob: str) -> DataFrame:
+    """The same files with every field as the text that was landed."""
+    texts = ", ".join(f"{name} STRING" for name in schemas.READING_COLUMNS)
+    return spark.read.schema(texts).csv(path_glob, header=True)
+
+
+def read_landed_texts(spark: SparkSession, folder: str, land_day: date) -> DataFrame:
+    """One landing day, as texts, out of the folder that the landing stream writes.
 
     The folder is read as a whole and pruned by partition, because only so does Spark leave
     out files of batches that were never committed.
     """
     day = F.col("land_day") == int(land_day.strftime("%Y%m%d"))
-    return read_readings(spark, folder).where(day).drop("land_day")
+    return read_reading_texts(spark, folder).where(day).drop("land_day")
 
 
 def read_meter_list(spark: SparkSession, path: str) -> DataFrame:

@@ -22,12 +22,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     passed = [name for name in messages.columns if name not in ("key", "value")]
     line = F.col("value").cast("string")
     parsed = messages.select(*payload.decode_reading(line), line.alias("raw"), *passed)
-    valid: Column = F.lit(True)
-    for name in schemas.READING_COLUMNS:
-        valid = valid & F.col(name).isNotNull()
-    measure = F.col("measure").cast("double")
-    valid = valid & F.coalesce(~F.isnan(measure) & (F.abs(measure) != float("inf")), F.lit(False))
-    return parsed.withColumn("valid", valid).withColumn("raw", F.when(~F.col("valid"), F.col("raw")))
+    return parsed.withColumn("valid", payload.is_valid()).withColumn("raw", F.when(~F.col("valid"), F.col("raw")))
 
 
 def drop_repeats(parsed: DataFrame, delay: str = "1 day", key: Sequence[str] = LINE_KEY) -> DataFrame:
@@ -68,28 +63,34 @@ def read_speed_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(schemas.SPEED_READING).parquet(table)
 
 
-def land_csv(messages: DataFrame, folder: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def land_csv(
+    messages: DataFrame, folder: str, checkpoint: str, interval: str | None = None, zone: str | None = None
+) -> StreamingQuery:
     """Land messages as CSV files with a header, one folder per day of arrival (``land_day``).
 
-    The three fields of a line are landed as text, so that a bad one is still there to look at.
+    The day is the one in ``zone``, or in the session's zone without it. The three fields of a line
+    are landed as text, so that a bad one is still there to look at.
     """
     fields = F.split(F.col("value").cast("string"), ",")
+    arrived = F.col("timestamp") if zone is None else payload.wall_clock(F.col("timestamp"), zone)
     rows = messages.select(
         *[F.get(fields, place).alias(name) for place, name in enumerate(schemas.READING_COLUMNS)],
-        F.date_format("timestamp", "yyyyMMdd").alias("land_day"),
+        F.date_format(arrived, "yyyyMMdd").alias("land_day"),
     )
     writer = rows.writeStream.format("csv").option("header", True).option("path", folder).partitionBy("land_day")
     return _start(writer, checkpoint, interval)
 
 
-def ingest_delay(parsed: DataFrame, arrived: Column | None = None) -> DataFrame:
+def ingest_delay(parsed: DataFrame, arrived: Column | None = None, zone: str | None = None) -> DataFrame:
     """Milliseconds from the measured instant to arrival, per reading.
 
     ``arrived`` defaults to the time at which the batch is processed; pass the message's own
-    ``timestamp`` to measure only the way into the queue.
+    ``timestamp`` to measure only the way into the queue. Meters' clocks run in ``zone``; without it,
+    in the session's zone.
     """
     arrived = F.current_timestamp() if arrived is None else arrived
-    measured = F.col("datetime_measured").cast("timestamp")
+    moment = F.col("datetime_measured")
+    measured = moment.cast("timestamp") if zone is None else payload.instant(moment, zone)
     delay = F.unix_millis(arrived.cast("timestamp")) - F.unix_millis(measured)
     return parsed.where(F.col("valid")).withColumn("delay_ms", delay)
 
