@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import compare_oracle
 import numpy as np
 import public_tokenizers
 import pytest
@@ -18,6 +19,7 @@ from wattfold.llm import (
     chat, exact_dedup, jaccard, language_id, mixing, neighbours, packing, sharding, token_files, tokenization, warc,
 )
 from wattfold.llm.components import components
+from wattfold.llm.oracles import ORACLES
 from wattfold.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, shard string, rank int"
@@ -381,3 +383,13 @@ def test_pipeline_of_odd_rows(spark, odd, none):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, "")
         docs.collect()
+
+
+@pytest.fixture(scope="module")
+def duck(small):
+    return compare_oracle.duck(small)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_agrees_with_sql(spark, duck, small, name):
+    assert compare_oracle.difference(spark, duck, small, name) is None
