@@ -179,6 +179,16 @@ def test_components_of_a_chain(spark, monkeypatch):
         assert {tuple(r) for r in components(spark, links).collect()} == {(i, 0) for i in range(1, 41)}
 
 
+def test_components_of_a_node_with_more_links_than_a_task_takes(spark, monkeypatch):
+    import wattfold.llm.components as module
+
+    monkeypatch.setattr(module, "TASK_LINKS", 7)
+    pairs = [(50, i) for i in range(60, 100)] + [(3, 99), (1, 2)]
+    links = module.stored(spark, spark.createDataFrame(pairs, "a long, b long"), "star")
+    found = {tuple(r) for r in components(spark, links).collect()}
+    assert found == {(i, 3) for i in [50, *range(60, 100)]} | {(2, 1)}
+
+
 def test_shards(spark, odd, odd_rows, none):
     rows = sharding.shard_documents(spark, odd, 3).collect()
     assert len(rows) == len(odd_rows)

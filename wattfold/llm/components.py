@@ -40,13 +40,14 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``id, component``: the least id that links ``a, b`` lead to, for every id that is not the least.
 
-    ``links`` must be a stored table. Tasks of ``TASK_LINKS`` links contract their own into stars. If
-    one task has all, that is the result. Else stars are joined in rounds, each of which links all
+    ``links`` must be a stored table. Tasks of about ``TASK_LINKS`` links contract their own into stars;
+    they are cut as ranges, so a node with more links than that is in several. If one task has all,
+    that is the result. Else stars are joined in rounds, each of which links all
     larger neighbours of a node to the least of its neighbours, then all smaller ones, until nothing
     changes; links are stored after each round. No component is gathered.
     """
     tasks = max(1, -(-links.count() // TASK_LINKS))
-    edges = links.coalesce(1) if tasks == 1 else links.repartition(tasks, F.least("a", "b"))
+    edges = links.coalesce(1) if tasks == 1 else links.repartitionByRange(tasks, F.least("a", "b"), F.greatest("a", "b"))
     edges = stored(spark, edges.mapInArrow(_contract, "u long, v long"), "component-edges")
     if tasks > 1:
         edges = _stars(spark, edges)
