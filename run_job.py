@@ -45,11 +45,17 @@ def parser() -> argparse.ArgumentParser:
 
     consumption = command("consumption", "warehouse", "operational", "landed")
     consumption.add_argument("--day", type=date.fromisoformat, required=True)
+    consumption.add_argument("--measure-type", default="double", help="a decimal type makes sums exact")
 
     revenue = command("revenue", "warehouse", "operational", "version")
     revenue.add_argument("--year", type=int, required=True)
     revenue.add_argument("--month", type=int, required=True)
 
+    command("views", "warehouse", "version")
+    export = command("export", "landed", "out")
+    export.add_argument("--per", choices=("hour", "day"), default="hour")
+    command("publish", "landed", "servers", "topic")
+
     for name in ("speed", "landing"):
         stream = command(name, "servers", "topic", "out", "checkpoint")
         stream.add_argument("--interval", help="time between batches; without it the stream stops at the end")
@@ -73,7 +79,7 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         print(f"{given.name}: {left_out} source rows without a key were left out")
     elif given.job == "consumption":
         parties = [spark.read.parquet(f"{given.operational}/{name}") for name in SOURCES.values()]
-        print(jobs.load_consumption(spark, given.landed, given.day, *parties, given.warehouse))
+        print(jobs.load_consumption(spark, given.landed, given.day, *parties, given.warehouse, given.measure_type))
     elif given.job == "check":
         parties = [spark.read.parquet(f"{given.operational}/{name}") for name in SOURCES.values()]
         print(jobs.check_operational(*parties))
@@ -82,6 +88,12 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
     elif given.job == "revenue":
         prices = jobs.read_prices(spark, given.operational)
         jobs.load_revenue(spark, given.warehouse, given.year, given.month, given.version, prices)
+    elif given.job == "views":
+        print(f"stored {', '.join(jobs.store_views(spark, given.warehouse, given.version))}")
+    elif given.job == "export":
+        jobs.export_readings(spark, given.landed, given.out, given.per)
+    elif given.job == "publish":
+        jobs.publish_readings(spark, given.landed, given.servers, given.topic)
     else:
         messages = queue.read_messages(spark, given.servers, given.topic, maxOffsetsPerTrigger=given.max_per_batch)
         if given.job == "speed":

@@ -28,3 +28,13 @@ def test_calendar_spanning_a_column(spark):
     rows = table(spark, "at timestamp_ntz", (datetime(2024, 2, 28, 23),), (None,), (datetime(2024, 3, 1, 0),))
     got = [row.date_id for row in calendar.calendar_spanning(rows, "at").orderBy("date_id").collect()]
     assert got == [20240228, 20240229, 20240301]
+
+
+def test_a_wrong_date_does_not_stretch_a_bounded_calendar(spark):
+    days = [datetime(1900, 1, 1), datetime(2024, 2, 28, 23), None, datetime(2024, 3, 1, 23), datetime(9999, 1, 1)]
+    rows = table(spark, "at timestamp_ntz", *[(day,) for day in days])
+    bounds = date(2024, 1, 1), date(2024, 3, 1)
+    spanned = calendar.calendar_spanning(rows, "at", *bounds)
+    assert sorted(row.date_id for row in spanned.collect()) == [20240228, 20240229, 20240301]
+    assert calendar.outside(rows, "at", *bounds) == 2 and calendar.outside(rows, "at") == 0
+    assert calendar.calendar_spanning(rows, "at", date(9999, 12, 31)).isEmpty()

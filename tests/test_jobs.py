@@ -4,6 +4,7 @@ import contextlib
 import io
 from collections import Counter
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from rows import bag, table
 
 import run_job
 from wattfold.plans import jobs
+from wattfold.sources import queue
 from wattfold.streaming import ingest
 
 DAY = date(2023, 7, 2)
@@ -94,6 +96,13 @@ def test_jobs_by_command(spark, folder, operational, capsys):
     run("revenue", *out, *source, "--version", "a", "--year", "2023", "--month", "7")
     bills = bag(spark.read.parquet(f"{warehouse}/fact_revenue"), "date_id", "meter_id", "revenue", "customer_type")
     assert bills == Counter([(20230701, 100, 40 * 1806.0, "residential"), (20230701, 200, 1746.0, "commercial")])
+    run("views", *out, "--version", "a")
+    stored = spark.read.parquet(f"{warehouse}/views/daily_total_consumption")
+    assert bag(stored, "day", "month", "year", "consumption") == Counter([(1, 7, 2023, 40.0), (2, 7, 2023, 1.0)])
+    assert spark.read.parquet(f"{warehouse}/views/monthly_revenue_by_customer").count() == 2
+    run("export", "--landed", f"{folder}/readings_*.csv", "--out", f"{folder}/hours")
+    hours = spark.read.csv(f"{folder}/hours", header=True)
+    assert bag(hours, "meter_id", "hour_stamp") == Counter([("100", 20230701120000), ("200", 20230702230000)])
     said = capsys.readouterr().out
     assert "dim_customer: 0 source rows" in said and "Landed(billed=2, bad=0, unknown=0)" in said
     assert "dim_electric_meter: 2 place names" not in said and "'meters without a contract': 0" in said
@@ -135,6 +144,26 @@ def test_every_landed_line_is_accounted_for(spark, folder, operational):
     assert spark.read.parquet(f"{folder}/w/fact_power_consumption").where("date_id IS NULL").isEmpty()
 
 
+def test_decimal_measures_are_summed_exactly(spark, folder, operational):
+    lines = [f"100,{measure},2023-07-01 12:00:00" for measure in ("0.1", "0.2", "0.3", "1000000.0", "Infinity")]
+    land(folder, "readings_20230702000000.csv", *lines)
+    landed = f"{folder}/readings_{{day}}*.csv"
+    counts = jobs.load_consumption(spark, landed, DAY, *operational, f"{folder}/w", "decimal(8,2)")
+    assert counts == (3, 2, 0)
+    fact = spark.read.parquet(f"{folder}/w/fact_power_consumption")
+    assert fact.first().consumption == Decimal("0.60") and fact.count() == 1
+
+
+def test_readings_are_published_by_command(spark, folder, monkeypatch):
+    land(folder, "readings_20230702000000.csv", "100,40,2023-07-01 12:30:00")
+    sent = []
+    publish = lambda readings, *to: sent.append((queue.as_messages(readings).first(), to))
+    monkeypatch.setattr(queue, "publish", publish)
+    options = ["--landed", f"{folder}/readings_*.csv", "--servers", "host", "--topic", "readings"]
+    run_job.run(spark, run_job.parser().parse_args(["publish", *options]))
+    assert sent == [(("100", "100,40.0,2023-07-01 12:30:00"), ("host", "readings"))]
+
+
 def test_repeated_keys_are_refused(spark, folder, operational):
     customers, contracts, meters = operational
     with pytest.raises(ValueError, match="electric_meter has 2 keys"):

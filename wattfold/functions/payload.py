@@ -19,11 +19,13 @@ def encode_reading(meter_id: Column, measure: Column, moment: Column) -> Column:
     return F.concat_ws(",", *[F.coalesce(field, F.lit("")) for field in fields])
 
 
-def decode_fields(meter_id: Column, measure: Column, moment: Column) -> tuple[Column, Column, Column]:
+def decode_fields(
+    meter_id: Column, measure: Column, moment: Column, measure_type: str = "double"
+) -> tuple[Column, Column, Column]:
     """Typed columns of a reading's three texts; a bad or missing one becomes NULL and never fails the job."""
     return (
         meter_id.try_cast("bigint").alias("meter_id"),
-        measure.try_cast("double").alias("measure"),
+        measure.try_cast(measure_type).alias("measure"),
         moment.try_cast("timestamp_ntz").alias("datetime_measured"),
     )
 

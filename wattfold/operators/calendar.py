@@ -34,8 +34,22 @@ def calendar(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY
     return _days(bounds, F.col("first"), F.col("last"))
 
 
-def calendar_spanning(rows: DataFrame, moment: str) -> DataFrame:
-    """The calendar from the earliest to the latest day found in a column."""
+def _within(day: Column, first: date | None, last: date | None) -> Column:
+    held = F.lit(True) if first is None else day >= F.lit(first)
+    return held if last is None else held & (day <= F.lit(last))
+
+
+def calendar_spanning(rows: DataFrame, moment: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """The calendar from the earliest to the latest day found in a column.
+
+    Days before ``first`` or after ``last`` do not stretch it, so that one wrong date does not make
+    millennia; ``outside`` counts their rows.
+    """
     day = F.col(moment).cast("date")
-    bounds = rows.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    bounds = rows.where(_within(day, first, last)).agg(F.min(day).alias("first"), F.max(day).alias("last"))
     return _days(bounds, F.col("first"), F.col("last"))
+
+
+def outside(rows: DataFrame, moment: str, first: date | None = None, last: date | None = None) -> int:
+    """How many rows lie on a day that the bounds of ``calendar_spanning`` leave out."""
+    return rows.where(~_within(F.col(moment).cast("date"), first, last)).count()

@@ -105,11 +105,11 @@ def monthly_revenue_by_customer_type(revenue: DataFrame, dim_date: DataFrame, cu
     return star_rollup(revenue, dim_date, MONTH, "revenue", [Lookup(customers, "customer_id", ["customer_type"])])
 
 
-def register_views(
+def all_rollups(
     consumption: DataFrame, revenue: DataFrame, dim_date: DataFrame, customers: DataFrame, meters: DataFrame
-) -> list[str]:
-    """Create or replace the nine roll-ups as temporary views; returns their names."""
-    views = {
+) -> dict[str, DataFrame]:
+    """The nine roll-ups by name."""
+    return {
         "daily_total_consumption": daily_total_consumption(consumption, dim_date),
         "daily_consumption_by_customer": daily_consumption_by_customer(consumption, dim_date, customers),
         "daily_consumption_by_customer_type": daily_consumption_by_customer_type(consumption, dim_date, customers),
@@ -122,6 +122,13 @@ def register_views(
             consumption, dim_date, customers, meters
         ),
     }
+
+
+def register_views(
+    consumption: DataFrame, revenue: DataFrame, dim_date: DataFrame, customers: DataFrame, meters: DataFrame
+) -> list[str]:
+    """Create or replace the nine roll-ups as temporary views; returns their names."""
+    views = all_rollups(consumption, revenue, dim_date, customers, meters)
     for name, view in views.items():
         view.createOrReplaceTempView(name)
     return list(views)

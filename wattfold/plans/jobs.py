@@ -19,7 +19,7 @@ from wattfold.functions import payload
 from wattfold.operators import calendar, checks, consumption, dimensions, places, revenue, rollups
 from wattfold.sinks import files as sinks
 from wattfold.sources import files as sources
-from wattfold.sources import seeds
+from wattfold.sources import queue, seeds
 from wattfold.streaming import ingest
 
 DIMENSIONS = {
@@ -120,6 +120,7 @@ def load_consumption(
     contracts: DataFrame,
     meters: DataFrame,
     warehouse: str,
+    measure_type: str = "double",
 ) -> Landed:
     """One landing day's files into the consumption fact.
 
@@ -129,6 +130,9 @@ def load_consumption(
 
     Every landed line is accounted for: bad ones are stored with their texts under ``bad_readings``,
     meters that nobody owns under ``unknown_meters``. Tables with repeated keys are refused.
+
+    With a decimal ``measure_type`` sums are exact and do not depend on the order of rows; measures are
+    rounded to its scale, and those beyond its range are bad lines. A warehouse keeps to one type.
     """
     check_operational(customers, contracts, meters)
     stamp = land_day.strftime("%Y%m%d")
@@ -137,7 +141,7 @@ def load_consumption(
     else:
         texts = sources.read_landed_texts(spark, landed, land_day)
     names = schemas.READING_COLUMNS
-    kept = texts.select(*payload.decode_fields(*[F.col(name) for name in names]), F.struct(*names).alias("text"))
+    kept = texts.select(*payload.decode_fields(*[F.col(name) for name in names], measure_type), F.struct(*names).alias("text"))
     bad, days, strange = (f"{warehouse}/{name}" for name in ("bad_readings", "meter_days", "unknown_meters"))
     sinks.write_version(kept.where(~payload.is_valid()).select("text.*"), bad, stamp)
     # Stored, so that its sums are made once for the fact and the counts.
@@ -182,9 +186,8 @@ def load_revenue(spark: SparkSession, warehouse: str, year: int, month: int, ver
     sinks.replace_slice(bills, f"{warehouse}/fact_revenue", "date_id", date_id, "customer_type")
 
 
-def serve_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
-    """Register the nine roll-ups over the stored star schema."""
-    return rollups.register_views(
+def _star(spark: SparkSession, warehouse: str, version: str) -> tuple[DataFrame, ...]:
+    return (
         spark.read.parquet(f"{warehouse}/fact_power_consumption"),
         spark.read.parquet(f"{warehouse}/fact_revenue").drop("customer_type"),
         spark.read.parquet(f"{warehouse}/dim_date"),
@@ -193,6 +196,29 @@ def serve_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
     )
 
 
+def serve_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
+    """Register the nine roll-ups over the stored star schema, for this session."""
+    return rollups.register_views(*_star(spark, warehouse, version))
+
+
+def store_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
+    """Store the nine roll-ups under ``views``, for readers outside this session; returns their names."""
+    views = rollups.all_rollups(*_star(spark, warehouse, version))
+    for name, view in views.items():
+        sinks.write_version(view, f"{warehouse}/views/{name}", version)
+    return list(views)
+
+
+def export_readings(spark: SparkSession, path_glob: str, out: str, per: str = "hour") -> None:
+    """Landed readings as one CSV folder per hour or day; readings without a moment have a folder too."""
+    sinks.write_readings_csv(sources.read_readings(spark, path_glob), out, per)
+
+
+def publish_readings(spark: SparkSession, path_glob: str, servers: str, topic: str) -> None:
+    """Landed readings into a queue, one message each."""
+    queue.publish(sources.read_readings(spark, path_glob), servers, topic)
+
+
 def start_landing(
     messages: DataFrame, folder: str, checkpoint: str, interval: str | None = "1 hour", delay: str | None = "1 day",
     zone: str | None = None,
