@@ -107,12 +107,21 @@ def without_duplicates(
     gone = rows.where(~F.col("kept")).select(F.col("__id").alias("__gone"), F.col("__hash").alias("__of"))
     gone = stored(spark, gone.distinct(), "dedup-gone")
     kept = rows.where("kept").select(F.col("__id").alias("__gone"), F.col("__hash").alias("__of"))
-    mixed = stored(spark, kept.join(gone.select("__gone"), "__gone", "left_semi"), "dedup-mixed")
-    same_id = F.col(id_col).eqNullSafe(F.col("__gone"))
-    clean = docs.join(gone, same_id, "left_anti")
+    # Nulls are an id like any other.
+    ids = gone.select(F.col("__gone").alias("__left")).distinct()
+    mixed = kept.join(ids, F.col("__gone").eqNullSafe(F.col("__left")), "left_semi")
+    mixed = stored(spark, mixed.distinct(), "dedup-mixed")
+    clean = docs.join(ids, F.col(id_col).eqNullSafe(F.col("__left")), "left_anti")
     if mixed.isEmpty():
         return clean
-    again = docs.join(mixed, same_id, "left_semi").withColumn("__hash", _hash(_content(text_col)))
-    lost = gone.join(mixed, ["__gone", "__of"], "left_anti")
-    again = again.join(lost, same_id & (F.col("__hash") == F.col("__of")), "left_anti")
+    both = mixed.select(F.col("__gone").alias("__left")).distinct()
+    again = docs.join(both, F.col(id_col).eqNullSafe(F.col("__left")), "left_semi")
+    again = again.withColumn("__hash", _hash(_content(text_col)))
+    # A text that stays has no hash if it is the only one of its kind, so no row that goes equals it.
+    stays = mixed.where("__of IS NOT NULL").select(F.col("__gone").alias("__left"), F.col("__of").alias("__text"))
+    lost = gone.join(
+        stays, F.col("__gone").eqNullSafe(F.col("__left")) & (F.col("__of") == F.col("__text")), "left_anti"
+    )
+    same = F.col(id_col).eqNullSafe(F.col("__gone")) & (F.col("__hash") == F.col("__of"))
+    again = again.join(lost, same, "left_anti")
     return clean.unionByName(again.dropDuplicates([id_col, "__hash"]).drop("__hash"))
