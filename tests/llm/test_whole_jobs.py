@@ -1,10 +1,12 @@
 """Cases in which an operator once lost rows or held too much: null and repeated ids, hot keys, rare languages."""
 
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from wattfold.llm import exact_dedup
+from wattfold.llm import exact_dedup, jaccard
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -24,3 +26,57 @@ def docs_of(spark, rows):
 def test_null_ids_keep_their_own_texts(spark, rows, want):
     clean = exact_dedup.without_duplicates(spark, docs_of(spark, rows))
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(want)
+
+
+def test_a_hot_keys_pairs_are_made_once_in_tiles_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 64, raising=False)
+    n, width = 600, len(jaccard._SKETCH)
+    sketch = ", ".join(f"{name} long" for name in jaccard._SKETCH)
+    rows = [(1, i, 40 + i % 3, i, n, *[0] * width) for i in range(n)]
+    rows += [(2, 1000 + i, 40, i // 2, 4, *[0] * width) for i in range(4)]
+    members = spark.createDataFrame(rows, f"key long, c long, n long, label long, size long, {sketch}")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        found = []
+        for first, last in ((0, 64), (64, 4160)):
+            pairs = jaccard._later_pairs(members, first, last, 80)
+            found += [(min(r[:2]), max(r[:2]), r[2]) for r in pairs.select("a", "b", F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    tasks = Counter(r[2] for r in found)
+    assert len(tasks) > 8 and max(tasks.values()) < n * n / 4
+    ends = Counter((a, b) for a, b, _ in found)
+    want = {(i, j) for i in range(n) for j in range(i)} | {(1000 + i, 1000 + j) for i in range(4) for j in range(i) if i // 2 != j // 2}
+    assert set(ends.values()) == {1} and len(ends) == len(want)
+
+
+def test_a_hot_key_meets_its_first_member(spark, monkeypatch):
+    rows = [(1, 9, i % 300) for i in range(600)] + [(2, 5, 7), (2, 5, 7), (3, 5, 8), (3, 4, 9), (4, 1, 1)]
+    keys = spark.createDataFrame(rows, "key long, n int, c long").repartition(4)
+    want = sorted((1, 0, 9, c, 9) for c in range(1, 300)) + [(3, 9, 4, 8, 5)]
+    for hot in (100_000, 0):
+        monkeypatch.setattr(jaccard, "HOT", hot)
+        assert sorted(map(tuple, jaccard._meetings(spark, keys).collect())) == want
+
+
+def test_unlike_sets_of_a_hot_key_in_small_tiles(spark, monkeypatch):
+    for name, value in (("TILE", 8), ("HOT", 0), ("GROWTH", 3), ("SLICE", 5)):
+        monkeypatch.setattr(jaccard, name, value)
+    rnd = random.Random(3)
+    common = [f"c{i}" for i in range(60)]
+    texts = []
+    for _ in range(60):
+        words = common[: rnd.randint(38, 60)] + [f"x{rnd.randint(0, 30)}" for _ in range(rnd.randint(0, 8))]
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k : k + 2]) for k in range(len(w) - 1)} for w in (t.split() for t in texts)]
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    found = jaccard.similar_documents(spark, docs_of(spark, list(enumerate(texts))), 2, 85).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(label))
+    assert 1 < len(set(label)) < len(label)

@@ -21,6 +21,12 @@ FILTER_WORDS = 1 << 18
 # Members of a set of equal keys that are compared with all others: first one, then in each round
 # so many times as many as in all before.
 GROWTH = 64
+# Sets of a key, in expectation, that one task compares with as many others; and how many of either it
+# lays out at a time.
+TILE, SLICE = 2_048, 512
+# Rows of a key from which its first round is dealt to ``PARTS`` tasks. A sample of one set in
+# ``SAMPLE`` tells such keys; either way gives the same meetings.
+HOT, PARTS, SAMPLE = 100_000, 64, 32
 # Pairs of sets for which one way of dealing a set's partners to tasks is enough.
 FAN = 100_000
 
@@ -63,27 +69,50 @@ def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(keyed, "key long, n int, c long")
 
 
-def _meetings(keys: DataFrame) -> DataFrame:
-    """Members of keys that more than one set has, each but the first with the first."""
+def _hot_heads(keys: DataFrame) -> DataFrame:
+    """Keys that very many rows have, each with its least member; ``HOT`` bounds how many there are."""
+    sample = keys.where(spread(F.lit(13), "c") % SAMPLE == 0).groupBy("key").count()
+    hot = F.broadcast(sample.where(F.col("count") > HOT // SAMPLE).select("key"))
+    heads = keys.join(hot, "key", "left_semi").groupBy("key").agg(F.min(F.struct("n", "c")).alias("head"))
+    return heads.select("key", F.col("head.n").alias("head_n"), F.col("head.c").alias("head_c"))
+
+
+def _meetings(spark: SparkSession, keys: DataFrame) -> DataFrame:
+    """Members of keys that more than one set has, each but the first with the first.
+
+    ``keys`` must be a stored table. The rows of a hot key are dealt to several tasks, all of which are
+    told its first member.
+    """
+    heads = stored(spark, _hot_heads(keys), "jaccard-hot")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = last_c = head_c = head_n = None
+        last_key = last_part = last_c = head_c = head_n = None
         for batch in batches:
-            key, n, c = (batch.column(name).to_numpy() for name in ("key", "n", "c"))
+            key, part, n, c = (batch.column(name).to_numpy() for name in ("key", "part", "n", "c"))
             if not len(key):
                 continue
-            same_key = np.concatenate([[key[0] == last_key], key[1:] == key[:-1]])
+            same_key = np.concatenate([
+                [key[0] == last_key and part[0] == last_part], (key[1:] == key[:-1]) & (part[1:] == part[:-1])
+            ])
             same_c = np.concatenate([[c[0] == last_c], c[1:] == c[:-1]]) & same_key
             head = np.maximum.accumulate(np.where(same_key, -1, np.arange(len(key))))
             pivot = np.where(head >= 0, c[head], head_c if head_c is not None else 0)
             pivot_n = np.where(head >= 0, n[head], head_n if head_n is not None else 0).astype(np.int32)
             use = same_key & ~same_c
+            told = part >= 0
+            if told.any():
+                told_c = batch.column("head_c").fill_null(0).to_numpy()
+                told_n = batch.column("head_n").fill_null(0).to_numpy()
+                use = np.where(told, ~same_c & ((c != told_c) | (n != told_n)), use)
+                pivot, pivot_n = np.where(told, told_c, pivot), np.where(told, told_n, pivot_n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[use]) for x in (key, pivot, pivot_n, c, n)], ["key", "pivot", "pivot_n", "c", "n"]
             )
-            last_key, last_c, head_c, head_n = key[-1], c[-1], pivot[-1], pivot_n[-1]
+            last_key, last_part, last_c, head_c, head_n = key[-1], part[-1], c[-1], pivot[-1], pivot_n[-1]
 
-    ordered = keys.repartition("key").sortWithinPartitions("key", "n", "c")
+    part = F.when(F.col("head_c").isNull(), F.lit(-1)).otherwise((spread(F.lit(13), "c") % PARTS).cast("int"))
+    dealt = keys.join(F.broadcast(heads), "key", "left").withColumn("part", part)
+    ordered = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "n", "c")
     return ordered.mapInArrow(stream, "key long, pivot long, pivot_n int, c long, n int")
 
 
@@ -92,56 +121,84 @@ def _may_link(n: Column, m: Column, percent: int) -> Column:
 
 
 def _later_pairs(members: DataFrame, first: int, last: int, percent: int) -> DataFrame:
-    """Pairs of a key's members ``first`` up to, without, ``last`` with those after them.
-
-    Members come with their sketch and the component they are in; pairs of one component, or with
-    sketches or sizes too far apart, are not made. A key's members pass through one by one; only the
-    ones that others are compared with are held.
+    """Pairs of about a key's members ``first`` up to, without, ``last`` with those after them.
+
+    Members come with their sketch, the component they are in and the size of their key's group; pairs
+    of one component, or with sketches or sizes too far apart, are not made. A hash gives each member
+    a place from 0 to 2^31 - 1, and the span of places that a round compares with all after them
+    follows from the group's size; spans of rounds adjoin, so each pair is made in one round. The
+    places of a group are cut into tiles of about ``TILE`` members, and two tiles meet in a task of
+    their own, so what a task holds and compares has a bound however large the group is.
     """
+    everywhere = F.lit(1 << 31)
+    tile = F.shiftright(F.col("at") * F.col("tiles"), 31)
+    members = members.withColumn("at", spread(F.lit(17), "c")).withColumn(
+        "tiles", F.ceil(F.col("size") / F.lit(TILE)).cast("long")
+    )
+    for name, place in (("low", first), ("high", last)):
+        members = members.withColumn(name, F.expr(f"least({place}L, size)") * everywhere)
+        members = members.withColumn(name, F.expr(f"{name} div size"))
+    members = members.withColumn("tile", tile)
+    # Tiles of the members that others are compared with.
+    least = F.shiftright(F.col("low") * F.col("tiles"), 31)
+    most = F.shiftright((F.col("high") - 1) * F.col("tiles"), 31)
+    rows = ["key", "at", "n", "c", "label", *_SKETCH]
+    held = members.where("at >= low AND at < high").select(
+        F.col("tile").alias("tile_a"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("tile_b"),
+        F.lit(0).alias("role"), *rows,
+    )
+    others = members.where(least <= F.col("tile")).select(
+        F.explode(F.sequence(least, F.least(most, F.col("tile")))).alias("tile_a"), F.col("tile").alias("tile_b"),
+        F.lit(1).alias("role"), *rows,
+    )
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, place = None, 0
-        held: list[tuple] = []
+        names = ("at", "c", "n", "label")
+        current, parts, pivots = None, [], None
         for batch in batches:
-            key, n, c, label = (batch.column(x).to_numpy() for x in ("key", "n", "c", "label"))
+            key, tile_a, tile_b, role = (batch.column(x).to_numpy() for x in ("key", "tile_a", "tile_b", "role"))
             if not len(key):
                 continue
-            sketch = np.stack([batch.column(x).to_numpy() for x in _SKETCH], axis=1)
-            starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-            left, right = [], []
+            columns = [batch.column(x).to_numpy() for x in names]
+            columns.append(np.stack([batch.column(x).to_numpy() for x in _SKETCH], axis=1))
+            group = np.stack([key, tile_a, tile_b, role], axis=1)
+            starts = np.concatenate([[0], np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1, [len(key)]])
             for begin, end in zip(starts, starts[1:], strict=False):
-                if key[begin] != current:
-                    current, place, held = key[begin], 0, []
-                rows = np.arange(begin, end)
-                at = place + rows - begin
-                new = rows[(at >= first) & (at < last)]
-                older = held
-                held = older + [(int(at[r - begin]), c[r], n[r], label[r], sketch[r]) for r in new]
-                if held:
-                    pivot_at = np.array([x[0] for x in held])
-                    pivot_c, pivot_n, pivot_label = (np.array([x[i] for x in held]) for i in (1, 2, 3))
-                    pivot_sketch = np.stack([x[4] for x in held])
-                    for cut in range(0, len(rows), 256):
-                        part = rows[cut : cut + 256]
-                        small = np.minimum(pivot_n[:, None], n[part])
-                        large = np.maximum(pivot_n[:, None], n[part])
-                        good = (pivot_at[:, None] < at[part - begin]) & (pivot_label[:, None] != label[part])
-                        good &= 100 * small.astype(np.int64) >= percent * large.astype(np.int64)
-                        i, j = np.nonzero(good)
-                        bits = np.bitwise_count(pivot_sketch[i] ^ sketch[part[j]]).sum(axis=1)
-                        near = bits <= most_apart((small[i, j] + large[i, j]).astype(np.int64), percent)
-                        left.append(pivot_c[i[near]])
-                        right.append(c[part[j[near]]])
-                place += end - begin
-            if left:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"]
-                )
-
-    ordered = members.repartition("key").sortWithinPartitions("key", "n", "c")
+                this = tuple(group[begin, :3])
+                if this != current:
+                    current, parts, pivots = this, [], None
+                rows = [x[begin:end] for x in columns]
+                if role[begin] == 0:
+                    parts.append(rows)
+                    continue
+                if not parts:
+                    continue
+                if pivots is None:
+                    pivots = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                for a in range(0, len(pivots[0]), SLICE):
+                    for b in range(0, end - begin, SLICE):
+                        left, right = _close([x[a : a + SLICE] for x in pivots], [x[b : b + SLICE] for x in rows], percent)
+                        if len(left):
+                            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["a", "b"])
+
+    tiles = ["key", "tile_a", "tile_b"]
+    ordered = held.union(others).repartition(*tiles).sortWithinPartitions(*tiles, "role")
     return ordered.mapInArrow(stream, "a long, b long")
 
 
+def _close(some: list[np.ndarray], others: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``some`` with ``others`` after them, of two components and with sketches that are near."""
+    at_a, c_a, n_a, label_a, sketch_a = some
+    at_b, c_b, n_b, label_b, sketch_b = others
+    small, large = np.minimum(n_a[:, None], n_b), np.maximum(n_a[:, None], n_b)
+    good = (at_a[:, None] < at_b) | ((at_a[:, None] == at_b) & (c_a[:, None] < c_b))
+    good &= (label_a[:, None] != label_b) & (100 * small.astype(np.int64) >= percent * large.astype(np.int64))
+    i, j = np.nonzero(good)
+    bits = np.bitwise_count(sketch_a[i] ^ sketch_b[j]).sum(axis=1)
+    near = bits <= most_apart((small[i, j] + large[i, j]).astype(np.int64), percent)
+    return c_a[i[near]], c_b[j[near]]
+
+
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets ``a, b`` whose sizes and sketches allow a link, with the ids of their classes."""
     sides = [
@@ -231,7 +288,7 @@ def similar_documents(
     Sets meet under the keys of their parity sketches' blocks. In the first round, each member of a
     key's group is compared with the first one. What links is one component, and groups within one
     component are done. Of the others, more members are compared with all that follow them in each
-    further round, until every pair of a group is in one component or has been compared; so no link
+    further round, tile by tile, until every pair of a group is in one component or has been compared; so no link
     between components is lost, and no group has all its pairs made unless nothing in it links.
     Sketches sort out most pairs, the sets themselves decide.
     """
@@ -242,14 +299,12 @@ def similar_documents(
         F.min("id").alias("rep"), *[F.first(name).alias(name) for name in _SKETCH]
     )
     classes = stored(spark, classes, "jaccard-classes")
-    meetings = stored(spark, _meetings(_keys(rows, words, percent)), "jaccard-meetings")
+    keys = stored(spark, _keys(rows, words, percent), "jaccard-keys")
+    meetings = stored(spark, _meetings(spark, keys), "jaccard-meetings")
 
-    heads = meetings.select("key", F.col("pivot").alias("c"), F.col("pivot_n").alias("n"))
-    members = stored(
-        spark, heads.groupBy("key").agg(F.first("c").alias("c"), F.first("n").alias("n")).union(
-            meetings.select("key", "c", "n")), "jaccard-members",
-    )
-    compared, links, found = 1, None, None
+    # All pairs of a key's first member are made in the first round; further rounds are for the others.
+    members = meetings.select("key", "c", "n")
+    compared, links, found = 0, None, None
     pairs = meetings.where(_may_link(F.col("n"), F.col("pivot_n"), percent)).select(
         F.col("pivot").alias("a"), F.col("c").alias("b")
     )
@@ -261,7 +316,7 @@ def similar_documents(
         left = _open_groups(spark, members, classes, found, compared)
         if left.isEmpty():
             break
-        last = compared + compared * GROWTH
+        last = max(1, compared) * (GROWTH + 1) - (not compared)
         pairs, compared = _later_pairs(left, compared, last, percent), last
     found = found.withColumnRenamed("id", "rep")
     named = classes.select("n", "c", "c2", "rep").join(found, "rep", "left")
@@ -282,13 +337,14 @@ def _open_groups(
         F.min(F.coalesce("component", "rep")).alias("label"), *[F.first(name).alias(name) for name in _SKETCH]
     )
     labels = stored(spark, labels, "jaccard-labels")
-    members = members.join(labels.select("c", "label"), "c").repartition("key")
-    open_keys = members.groupBy("key").agg(
+    labelled = members.join(labels.select("c", "label"), "c")
+    open_keys = labelled.groupBy("key").agg(
         F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most")
     )
-    open_keys = open_keys.where((F.col("size") > compared + 1) & (F.col("least") != F.col("most"))).select("key")
-    members = members.join(open_keys, "key", "left_semi").drop("label")
-    return stored(spark, members.join(labels, "c"), "jaccard-open")
+    # Stored, so that the join knows its size: it is broadcast, or lies between two exchanges and hot keys are split.
+    open_keys = open_keys.where((F.col("size") > max(1, compared)) & (F.col("least") != F.col("most")))
+    open_keys = stored(spark, open_keys.select("key", "size"), "jaccard-open-keys")
+    return stored(spark, members.join(open_keys, "key").join(labels, "c"), "jaccard-open")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
