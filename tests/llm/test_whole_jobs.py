@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from wattfold.llm import exact_dedup, jaccard
+import corpus_pipeline
+from wattfold.llm import exact_dedup, jaccard, language_id
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -28,6 +29,22 @@ def test_null_ids_keep_their_own_texts(spark, rows, want):
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(want)
 
 
+@pytest.mark.parametrize("rare", [1, 3])
+def test_rare_languages_are_learned_beside_a_large_one(spark, rare):
+    rnd = random.Random(11)
+    latin, greek = ["tion", "ing", "ter", "and", "ous"], ["ος", "ται", "και", "ων", "μεν", "λογ", "φα", "ρι"]
+
+    def text(parts, n):
+        return " ".join("".join(rnd.choice(parts) for _ in range(3)) for _ in range(n))
+
+    rows = [(i, text(latin, 60), "en") for i in range(100)] + [(1000 + i, text(greek, 12), "el") for i in range(rare)]
+    docs = docs_of(spark, rows)
+    model = language_id.fit(spark, docs)
+    found = docs.select("lang", language_id.identify(spark, model, F.col("text")).alias("f")).select("lang", "f.*").collect()
+    assert all(row.lang_pred == row.lang for row in found)
+    assert corpus_pipeline.identify_language(spark, docs, "").count() == len(rows)
+
+
 def test_a_hot_keys_pairs_are_made_once_in_tiles_of_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE", 64, raising=False)
     n, width = 600, len(jaccard._SKETCH)

@@ -24,9 +24,11 @@ ROWS = 1 << 20
 HASHES = 3
 # Documents that are learned from, per language, at most in expectation.
 FIT_DOCUMENTS = 1_000
-# An n-gram belongs to a language if at least this many of its documents have it, and a share of
-# them that is at least so many times that of the language that has it most.
+# An n-gram belongs to a language if at least this many of its documents have it (one, if the language
+# has fewer than ``SEVERAL`` that are learned from), and a share of them that is at least so many times
+# that of the language that has it most.
 LEAST_DOCUMENTS = 2
+SEVERAL = 50
 LEAST_RATIO = 0.125
 # Languages that one table can tell apart.
 MOST_LANGUAGES = 64
@@ -147,12 +149,14 @@ def fit(
     if documents is None:
         return Model(languages, np.zeros(rows, np.uint8), np.zeros(len(languages)))
     found = found.withColumn("rate", F.col("n") / F.element_at(documents, F.col("language")))
+    # Rare languages are learned too: a language's own documents say how many are asked for.
+    found = found.withColumn(
+        "enough", (F.col("n") >= LEAST_DOCUMENTS) | (F.element_at(documents, F.col("language")) < SEVERAL)
+    )
     top = found.groupBy("gram").agg(
-        F.collect_list(F.struct("language", "n", "rate")).alias("all"), F.max("rate").alias("top")
+        F.collect_list(F.struct("language", "enough", "rate")).alias("all"), F.max("rate").alias("top")
     )
-    # Small collections teach too: two documents are asked for only where there are some.
-    least = F.lit(LEAST_DOCUMENTS if max(sizes.values()) >= 50 else 1)
-    member = F.filter("all", lambda x: (x["n"] >= least) & (x["rate"] >= F.lit(LEAST_RATIO) * F.col("top")))
+    member = F.filter("all", lambda x: x["enough"] & (x["rate"] >= F.lit(LEAST_RATIO) * F.col("top")))
     mask = F.aggregate(
         member,
         F.lit(0).cast("long"),
