@@ -24,9 +24,9 @@ GROWTH = 64
 # Sets of a key, in expectation, that one task compares with as many others; and how many of either it
 # lays out at a time.
 TILE, SLICE = 2_048, 512
-# Rows of a key from which its first round is dealt to ``PARTS`` tasks. A sample of one set in
-# ``SAMPLE`` tells such keys; either way gives the same meetings.
-HOT, PARTS, SAMPLE = 100_000, 64, 32
+# Rows of a key from which its first round is not one task's. A sample of one set in ``SAMPLE`` tells
+# such keys; either way gives the same meetings.
+HOT, SAMPLE = 100_000, 32
 # Pairs of sets for which one way of dealing a set's partners to tasks is enough.
 FAN = 100_000
 
@@ -80,40 +80,39 @@ def _hot_heads(keys: DataFrame) -> DataFrame:
 def _meetings(spark: SparkSession, keys: DataFrame) -> DataFrame:
     """Members of keys that more than one set has, each but the first with the first.
 
-    ``keys`` must be a stored table. The rows of a hot key are dealt to several tasks, all of which are
-    told its first member.
+    ``keys`` must be a stored table. Keys pass through tasks whole, but for hot ones: their first
+    members are told to the rows where they lie.
     """
     heads = stored(spark, _hot_heads(keys), "jaccard-hot")
+    rows, hot = keys, None
+    if not heads.isEmpty():
+        heads = F.broadcast(heads)
+        rows = keys.join(heads, "key", "left_anti")
+        hot = keys.join(heads, "key").where((F.col("n") != F.col("head_n")) | (F.col("c") != F.col("head_c")))
+        hot = hot.select(
+            "key", F.col("head_c").alias("pivot"), F.col("head_n").alias("pivot_n"), "c", "n"
+        ).distinct()
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = last_part = last_c = head_c = head_n = None
+        last_key = last_c = head_c = head_n = None
         for batch in batches:
-            key, part, n, c = (batch.column(name).to_numpy() for name in ("key", "part", "n", "c"))
+            key, n, c = (batch.column(name).to_numpy() for name in ("key", "n", "c"))
             if not len(key):
                 continue
-            same_key = np.concatenate([
-                [key[0] == last_key and part[0] == last_part], (key[1:] == key[:-1]) & (part[1:] == part[:-1])
-            ])
+            same_key = np.concatenate([[key[0] == last_key], key[1:] == key[:-1]])
             same_c = np.concatenate([[c[0] == last_c], c[1:] == c[:-1]]) & same_key
             head = np.maximum.accumulate(np.where(same_key, -1, np.arange(len(key))))
             pivot = np.where(head >= 0, c[head], head_c if head_c is not None else 0)
             pivot_n = np.where(head >= 0, n[head], head_n if head_n is not None else 0).astype(np.int32)
             use = same_key & ~same_c
-            told = part >= 0
-            if told.any():
-                told_c = batch.column("head_c").fill_null(0).to_numpy()
-                told_n = batch.column("head_n").fill_null(0).to_numpy()
-                use = np.where(told, ~same_c & ((c != told_c) | (n != told_n)), use)
-                pivot, pivot_n = np.where(told, told_c, pivot), np.where(told, told_n, pivot_n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[use]) for x in (key, pivot, pivot_n, c, n)], ["key", "pivot", "pivot_n", "c", "n"]
             )
-            last_key, last_part, last_c, head_c, head_n = key[-1], part[-1], c[-1], pivot[-1], pivot_n[-1]
+            last_key, last_c, head_c, head_n = key[-1], c[-1], pivot[-1], pivot_n[-1]
 
-    part = F.when(F.col("head_c").isNull(), F.lit(-1)).otherwise((spread(F.lit(13), "c") % PARTS).cast("int"))
-    dealt = keys.join(F.broadcast(heads), "key", "left").withColumn("part", part)
-    ordered = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "n", "c")
-    return ordered.mapInArrow(stream, "key long, pivot long, pivot_n int, c long, n int")
+    ordered = rows.repartition("key").sortWithinPartitions("key", "n", "c")
+    met = ordered.mapInArrow(stream, "key long, pivot long, pivot_n int, c long, n int")
+    return met if hot is None else met.union(hot)
 
 
 def _may_link(n: Column, m: Column, percent: int) -> Column:
