@@ -11,7 +11,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm import chat, exact_dedup, jaccard, language_id, mixing, neighbours, packing, sharding, token_files, warc
+from wattfold.llm import (
+    chat, context_mixing, exact_dedup, jaccard, language_id, mixing, neighbours, packing, sharding, spelling, token_files,
+    turn_repair, warc,
+)
 from wattfold.settings import scratch_dir
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -106,6 +109,35 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(spark, vectors, neighbours.every_nth(vectors), NEIGHBOURS, neighbours.FACTOR)
 
 
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest edits and a digest of the repaired turns of every damaged conversation."""
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    report, repaired = turn_repair.repair(spark, turn_repair.damaged(turns))
+    digests = turn_repair.repaired_digests(spark, repaired).withColumnRenamed("conv_id", "__conv")
+    report = report.withColumnRenamed("conv_id", "__of")
+    rows = turns.select("conv_id").distinct()
+    rows = rows.join(report, F.col("conv_id").eqNullSafe(F.col("__of")), "left")
+    rows = rows.join(digests, F.col("conv_id").eqNullSafe(F.col("__conv")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return rows.select(
+        "conv_id", *[F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with their near words, the form each is a variant of and that form's root."""
+    return spelling.spelling_variants(spark, _table(spark, folder, "documents"))
+
+
+def op13_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and context-mixing scores of all documents; a tenth, by crc32 of the id, is held out of learning."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    docs = _table(spark, folder, "documents").select("doc_id", "text", (F.crc32(name.cast("binary")) % 10 == 0).alias("held_out"))
+    return context_mixing.score(spark, docs)
+
+
 def _reachable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Let Python workers find this package where the driver does; clusters ship it with ``--py-files``."""
 
@@ -132,6 +164,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_lm_score": op13_lm_score,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _reachable(query) for name, query in QUERIES.items()}
