@@ -16,6 +16,7 @@ from wattfold.operators import calendar
 from wattfold.plans import jobs
 from wattfold.settings import build_session
 from wattfold.sources import queue, seeds
+from wattfold.streaming import speed
 
 # The operational table that feeds each dimension.
 SOURCES = {"dim_customer": "customer", "dim_contract": "contract", "dim_electric_meter": "electric_meter"}
@@ -40,6 +41,16 @@ def parser() -> argparse.ArgumentParser:
     dimension.add_argument("--previous")
     dimension.add_argument("--today", type=date.fromisoformat, help="the day that rows without a date are given")
 
+    bucketed = command("upsert", "warehouse", "operational")
+    bucketed.add_argument("--name", choices=sorted(SOURCES), required=True)
+    bucketed.add_argument("--today", type=date.fromisoformat, help="the day that rows without a date are given")
+    reconciled = command("reconcile", "warehouse", "operational")
+    reconciled.add_argument("--name", choices=sorted(SOURCES), required=True)
+    reconciled.add_argument("--load", action="store_true", help="also load the rows that differ")
+    tidied = command("tidy", "table")
+    tidied.add_argument("--days", type=float, default=7, help="age of folders that may go")
+    command("compact", "out")
+
     command("check", "operational")
     command("seed-prices", "operational")
 
@@ -68,11 +79,17 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, given: argparse.Namespace) -> None:
     if given.job == "calendar":
         jobs.load_calendar(spark, given.warehouse, given.first, given.last)
-    elif given.job == "dimension":
+    elif given.job in ("dimension", "upsert", "reconcile"):
         source = spark.read.parquet(f"{given.operational}/{SOURCES[given.name]}")
         if given.name == "dim_electric_meter":
             source, unknown = jobs.placed_meters(source, seeds.provinces(spark))
             print(f"{given.name}: {unknown} place names are unknown")
+        if given.job == "upsert":
+            print(f"{given.name}: {jobs.upsert_dimension(spark, source, given.warehouse, given.name, given.today)}")
+            return
+        if given.job == "reconcile":
+            print(f"{given.name}: {jobs.reconcile_dimension(spark, source, given.warehouse, given.name, given.load)}")
+            return
         left_out = jobs.load_dimension(
             spark, source, given.warehouse, given.name, given.version, given.previous, given.today
         )
@@ -89,7 +106,12 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         prices = jobs.read_prices(spark, given.operational)
         jobs.load_revenue(spark, given.warehouse, given.year, given.month, given.version, prices)
     elif given.job == "views":
-        print(f"stored {', '.join(jobs.store_views(spark, given.warehouse, given.version))}")
+        for name, periods in jobs.store_views(spark, given.warehouse, given.version).items():
+            print(f"{name}: {len(periods)} periods written")
+    elif given.job == "tidy":
+        print(f"{jobs.tidy(spark, given.table, given.days)} folders removed")
+    elif given.job == "compact":
+        print(f"{speed.compact(spark, given.out)} merges")
     elif given.job == "export":
         jobs.export_readings(spark, given.landed, given.out, given.per)
     elif given.job == "publish":

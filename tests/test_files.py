@@ -9,6 +9,7 @@ from rows import bag, table
 from wattfold import settings
 from wattfold.functions import payload
 from wattfold.sinks import files as sinks
+from wattfold.sinks import snapshots
 from wattfold.sources import files, jdbc, queue
 
 READING = "meter_id bigint, measure double, datetime_measured timestamp_ntz"
@@ -55,14 +56,14 @@ def test_a_slice_is_replaced_whole_and_others_stay(spark, folder):
     path = f"{folder}/fact"
     schema = "meter_id int, consumption double, date_id int"
     first = table(spark, schema, (1, 1.0, 20230630), (1, 2.0, 20230701))
-    sinks.replace_slice(first, path, "land_day", 20230701, "date_id")
-    sinks.replace_slice(first, path, "land_day", 20230701, "date_id")
-    sinks.replace_slice(table(spark, schema, (2, 4.0, 20230701)), path, "land_day", 20230702, "date_id")
+    snapshots.replace_slice(first, path, "land_day", 20230701, "date_id")
+    snapshots.replace_slice(first, path, "land_day", 20230701, "date_id")
+    snapshots.replace_slice(table(spark, schema, (2, 4.0, 20230701)), path, "land_day", 20230702, "date_id")
     columns = ["meter_id", "consumption", "date_id", "land_day"]
     both = Counter([(1, 1.0, 20230630, 20230701), (1, 2.0, 20230701, 20230701), (2, 4.0, 20230701, 20230702)])
-    assert bag(spark.read.parquet(path), *columns) == both
-    sinks.replace_slice(table(spark, schema, (1, 8.0, 20230701)), path, "land_day", 20230701, "date_id")
-    assert bag(spark.read.parquet(path), *columns) == Counter(
+    assert bag(snapshots.read(spark, path), *columns) == both
+    snapshots.replace_slice(table(spark, schema, (1, 8.0, 20230701)), path, "land_day", 20230701, "date_id")
+    assert bag(snapshots.read(spark, path), *columns) == Counter(
         [(1, 8.0, 20230701, 20230701), (2, 4.0, 20230701, 20230702)]
     )
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from rows import bag, table
 
 import run_job
-from wattfold.plans import jobs
+from wattfold.plans import jobs, serving
+from wattfold.sinks import snapshots
 from wattfold.sources import queue
 from wattfold.streaming import ingest
 
@@ -94,12 +95,12 @@ def test_jobs_by_command(spark, folder, operational, capsys):
         run("dimension", *out, *source, "--version", "a", "--name", name, "--today", "2023-07-03")
     run("consumption", *out, *source, "--landed", f"{folder}/readings_{{day}}*.csv", "--day", "2023-07-02")
     run("revenue", *out, *source, "--version", "a", "--year", "2023", "--month", "7")
-    bills = bag(spark.read.parquet(f"{warehouse}/fact_revenue"), "date_id", "meter_id", "revenue", "customer_type")
+    bills = bag(snapshots.read(spark, f"{warehouse}/fact_revenue"), "date_id", "meter_id", "revenue", "customer_type")
     assert bills == Counter([(20230701, 100, 40 * 1806.0, "residential"), (20230701, 200, 1746.0, "commercial")])
     run("views", *out, "--version", "a")
-    stored = spark.read.parquet(f"{warehouse}/views/daily_total_consumption")
+    stored = serving.read_view(spark, warehouse, "daily_total_consumption")
     assert bag(stored, "day", "month", "year", "consumption") == Counter([(1, 7, 2023, 40.0), (2, 7, 2023, 1.0)])
-    assert spark.read.parquet(f"{warehouse}/views/monthly_revenue_by_customer").count() == 2
+    assert serving.read_view(spark, warehouse, "monthly_revenue_by_customer").count() == 2
     run("export", "--landed", f"{folder}/readings_*.csv", "--out", f"{folder}/hours")
     hours = spark.read.csv(f"{folder}/hours", header=True)
     assert bag(hours, "meter_id", "hour_stamp") == Counter([("100", 20230701120000), ("200", 20230702230000)])
@@ -122,7 +123,7 @@ def test_landing_stream_feeds_the_daily_job(spark, folder, operational):
     # A file of a batch that never came to its commit does not count.
     land(f"{folder}/landed/land_day=20230702", "part-orphan.csv", "100,99.0,2023-07-02 01:00:00")
     jobs.load_consumption(spark, f"{folder}/landed", DAY, *operational, f"{folder}/warehouse")
-    got = bag(spark.read.parquet(f"{folder}/warehouse/fact_power_consumption"), "date_id", "meter_id", "consumption")
+    got = bag(snapshots.read(spark, f"{folder}/warehouse/fact_power_consumption"), "date_id", "meter_id", "consumption")
     assert got == Counter([(20230701, 100, 1.5), (20230702, 100, 2.5)])
 
 
@@ -141,7 +142,7 @@ def test_every_landed_line_is_accounted_for(spark, folder, operational):
     bad = spark.read.parquet(f"{folder}/w/bad_readings")
     assert Counter(row.datetime_measured for row in bad.collect())["yesterday"] == 1
     assert bag(spark.read.parquet(f"{folder}/w/unknown_meters"), "meter_id", "readings") == Counter([(999, 2)])
-    assert spark.read.parquet(f"{folder}/w/fact_power_consumption").where("date_id IS NULL").isEmpty()
+    assert snapshots.read(spark, f"{folder}/w/fact_power_consumption").where("date_id IS NULL").isEmpty()
 
 
 def test_decimal_measures_are_summed_exactly(spark, folder, operational):
@@ -150,7 +151,7 @@ def test_decimal_measures_are_summed_exactly(spark, folder, operational):
     landed = f"{folder}/readings_{{day}}*.csv"
     counts = jobs.load_consumption(spark, landed, DAY, *operational, f"{folder}/w", "decimal(8,2)")
     assert counts == (3, 2, 0)
-    fact = spark.read.parquet(f"{folder}/w/fact_power_consumption")
+    fact = snapshots.read(spark, f"{folder}/w/fact_power_consumption")
     assert fact.first().consumption == Decimal("0.60") and fact.count() == 1
 
 
@@ -184,7 +185,7 @@ def test_a_changed_price_changes_the_bill(spark, folder, operational):
     dearer = jobs.Prices(*[prices.withColumn("price", F.col("price") + 1) for prices in seeded])
     for prices, home, shop in ((seeded, 18060.0, 1746.0), (dearer, 18070.0, 1747.0)):
         jobs.load_revenue(spark, warehouse, 2023, 7, "a", prices)
-        bills = bag(spark.read.parquet(f"{warehouse}/fact_revenue"), "meter_id", "revenue")
+        bills = bag(snapshots.read(spark, f"{warehouse}/fact_revenue"), "meter_id", "revenue")
         assert bills == Counter([(100, home), (200, shop)])
     twice = seeded._replace(commercial=seeded.commercial.union(seeded.commercial))
     with pytest.raises(ValueError, match="price list"):
@@ -211,7 +212,7 @@ def test_both_layers_drop_the_same_repeats(spark, folder, operational):
     jobs.start_landing(messages(), f"{folder}/landed", f"{folder}/landed-checkpoint", None).awaitTermination()
     jobs.start_speed_layer(messages(), f"{folder}/speed", f"{folder}/speed-checkpoint", None).awaitTermination()
     assert jobs.load_consumption(spark, f"{folder}/landed", DAY, *operational, f"{folder}/w") == (2, 1, 0)
-    fact, speed = spark.read.parquet(f"{folder}/w/fact_power_consumption"), ingest.read_speed_table(spark, f"{folder}/speed").where("valid")
+    fact, speed = snapshots.read(spark, f"{folder}/w/fact_power_consumption"), ingest.read_speed_table(spark, f"{folder}/speed").where("valid")
     assert fact.agg(F.sum("consumption")).first()[0] == speed.agg(F.sum("measure")).first()[0] == 4.0
 
 
@@ -223,4 +224,4 @@ def test_speed_layer(spark, folder):
     for delay, rows in (("1 day", 2), (None, 3)):
         out = f"{folder}/speed-{rows}"
         jobs.start_speed_layer(messages(), out, f"{out}-checkpoint", None, delay).awaitTermination()
-        assert spark.read.parquet(out).count() == rows
+        assert ingest.read_speed_table(spark, out).count() == rows

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from wattfold import schemas
 from wattfold.functions import keys, payload, segments
 from wattfold.operators import calendar, checks, consumption, dimensions, places, revenue, rollups
+from wattfold.plans import dimension_store, serving
 from wattfold.plans.testbed import INSERT_DAY, Testbed, as_double
 from wattfold.settings import scratch_dir
 from wattfold.sinks import files as file_sinks
+from wattfold.sinks import snapshots
 from wattfold.sources import files as file_sources
 from wattfold.sources import seeds
-from wattfold.streaming import ingest
+from wattfold.streaming import ingest, speed
 
 # The zone that meters' clocks are taken to run in.
 METER_ZONE = "Asia/Ho_Chi_Minh"
@@ -400,3 +402,100 @@ def ingest_latency(bed: Testbed) -> DataFrame:
     stream.start().awaitTermination()
     report = ingest.delay_report(bed.spark.read.parquet(f"{folder}/delays"))
     return report.select("day", "readings", "mean_ms", "max_ms")
+
+
+# Stored tables that are switched in one step.
+
+
+def _landing_days(bed: Testbed) -> dict[str, DataFrame]:
+    """The consumption of the readings that each of three landing days brought; days of measurement are in several."""
+    late = F.hour("datetime_measured") >= 20
+    readings = bed.readings()
+    bridge = bed.stored(bed.bridge(), "landing-bridge")
+    parts = {"20240201": readings.where(~late), "20240202": readings.where(late & (F.col("meter_id") % 2 == 0)),
+             "20240203": readings.where(late & (F.col("meter_id") % 2 == 1))}
+    return {day: consumption.daily_consumption(part, bridge) for day, part in parts.items()}
+
+
+def _published(bed: Testbed, table: str, days: dict[str, DataFrame]) -> None:
+    for day, rows in days.items():
+        snapshots.replace_slice(rows, table, "land_day", day, "date_id")
+
+
+@query
+def publish_fact_slices(bed: Testbed) -> DataFrame:
+    """Landing days published one by one, one of them first with the wrong rows; the fact adds them up."""
+    table = scratch_dir(bed.spark, "fact")
+    days = _landing_days(bed)
+    _published(bed, table, {"20240202": days["20240201"], **days})
+    fact = snapshots.read(bed.spark, table)
+    keys_of = ["date_id", *schemas.BRIDGE_COLUMNS, "time_of_day"]
+    return as_double(fact.groupBy(*keys_of).agg(F.sum("consumption").alias("consumption")), "consumption")
+
+
+def _refreshed(bed: Testbed, view: str) -> DataFrame:
+    """A stored roll-up after a second landing day, and after a third one that came late."""
+    fact, table = scratch_dir(bed.spark, "fact"), scratch_dir(bed.spark, view)
+    days, customers, meters = bed.dim_date(), bed.customers(), bed.meters()
+    for day, rows in _landing_days(bed).items():
+        snapshots.replace_slice(rows, fact, "land_day", day, "date_id")
+        serving.refresh(bed.spark, table, view, fact, days, customers, meters, "1")
+    return as_double(snapshots.read(bed.spark, table).drop("date_id"), "consumption")
+
+
+@query
+def refresh_daily_consumption_by_customer_type(bed: Testbed) -> DataFrame:
+    return _refreshed(bed, "daily_consumption_by_customer_type")
+
+
+@query
+def refresh_daily_consumption_by_location(bed: Testbed) -> DataFrame:
+    return _refreshed(bed, "daily_consumption_by_location")
+
+
+@query
+def speed_table_compacted(bed: Testbed) -> DataFrame:
+    """Readings of a table of twenty batches, sixteen of them merged; one batch is sent again after its merge."""
+    table = scratch_dir(bed.spark, "speed-batches")
+    rows = bed.event_readings().withColumn("measure", F.col("measure").cast("double"))
+    rows = rows.withColumns({"raw": F.lit(None).cast("string"), "valid": F.lit(True)})
+    batches = bed.stored(rows.withColumn("part", F.pmod(F.xxhash64("meter_id"), F.lit(20))), "batches")
+    for part in [*range(20), 3]:
+        speed.append_batch(batches.where(F.col("part") == part).drop("part"), table, "run", part)
+        speed.compact(bed.spark, table)
+    return speed.read_speed_table(bed.spark, table).where("valid").select(*schemas.READING_COLUMNS)
+
+
+def _bucketed(bed: Testbed, source: DataFrame, target: DataFrame, dimension: dimensions.Dimension) -> str:
+    """A dimension by buckets, with the target loaded and then the source."""
+    table = scratch_dir(bed.spark, "dimension")
+    for rows in (target, source):
+        dimension_store.upsert(bed.spark, rows, table, dimension)
+    return table
+
+
+@query
+def upsert_buckets_customer(bed: Testbed) -> DataFrame:
+    table = _bucketed(bed, bed.customer_source(), bed.customer_target(), dimensions.CUSTOMER)
+    return dimension_store.read(bed.spark, table, dimensions.CUSTOMER)
+
+
+@query
+def upsert_buckets_meter(bed: Testbed) -> DataFrame:
+    table = _bucketed(bed, bed.meter_source(), bed.meter_target(), dimensions.METER)
+    return dimension_store.read(bed.spark, table, dimensions.METER)
+
+
+@query
+def reconcile_customers(bed: Testbed) -> DataFrame:
+    """Customers whose source row differs from what loads by date have brought."""
+    table = _bucketed(bed, bed.customer_source(), bed.customer_target(), dimensions.CUSTOMER)
+    return dimension_store.reconcile(bed.spark, bed.customer_source(), table, dimensions.CUSTOMER).keys
+
+
+@query
+def load_silent_edits(bed: Testbed) -> DataFrame:
+    """The dimension after its differences were loaded: equal to the source."""
+    table = _bucketed(bed, bed.customer_source(), bed.customer_target(), dimensions.CUSTOMER)
+    dimension_store.load_differences(bed.spark, bed.customer_source(), table, dimensions.CUSTOMER)
+    return dimension_store.read(bed.spark, table, dimensions.CUSTOMER)

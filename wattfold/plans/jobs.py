@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from wattfold import schemas
 from wattfold.functions import payload
 from wattfold.operators import calendar, checks, consumption, dimensions, places, revenue, rollups
+from wattfold.plans import dimension_store, serving
 from wattfold.sinks import files as sinks
+from wattfold.sinks import snapshots
 from wattfold.sources import files as sources
 from wattfold.sources import queue, seeds
 from wattfold.streaming import ingest
@@ -152,7 +154,7 @@ def load_consumption(
     sinks.write_version(consumption.customer_meter_bridge(customers, contracts, meters), bridges, stamp)
     bridge = sinks.read_version(spark, bridges, stamp)
     fact = consumption.owned_consumption(per_meter, bridge)
-    sinks.replace_slice(fact, f"{warehouse}/fact_power_consumption", "land_day", stamp, "date_id")
+    snapshots.replace_slice(fact, f"{warehouse}/fact_power_consumption", "land_day", stamp, "date_id")
     sinks.write_version(consumption.unknown_meters(per_meter, bridge), strange, stamp)
     readings = F.coalesce(F.sum("readings"), F.lit(0))
     unknown = sinks.read_version(spark, strange, stamp).agg(readings).first()[0]
@@ -173,7 +175,7 @@ def load_revenue(spark: SparkSession, warehouse: str, year: int, month: int, ver
     business = revenue.business_prices(prices.commercial, prices.industrial)
     refuse_duplicates(business, ["customer_type", "voltage_tier", "time_of_day"], "the price list")
     bills = revenue.all_revenue(
-        spark.read.parquet(f"{warehouse}/fact_power_consumption"),
+        snapshots.read(spark, f"{warehouse}/fact_power_consumption"),
         days,
         sinks.read_version(spark, f"{warehouse}/dim_customer", version),
         sinks.read_version(spark, f"{warehouse}/dim_electric_meter", version),
@@ -183,13 +185,13 @@ def load_revenue(spark: SparkSession, warehouse: str, year: int, month: int, ver
         month,
     )
     date_id = year * 10000 + month * 100 + 1
-    sinks.replace_slice(bills, f"{warehouse}/fact_revenue", "date_id", date_id, "customer_type")
+    snapshots.replace_slice(bills, f"{warehouse}/fact_revenue", "date_id", date_id, "customer_type")
 
 
 def _star(spark: SparkSession, warehouse: str, version: str) -> tuple[DataFrame, ...]:
     return (
-        spark.read.parquet(f"{warehouse}/fact_power_consumption"),
-        spark.read.parquet(f"{warehouse}/fact_revenue").drop("customer_type"),
+        snapshots.read(spark, f"{warehouse}/fact_power_consumption"),
+        snapshots.read(spark, f"{warehouse}/fact_revenue").drop("customer_type"),
         spark.read.parquet(f"{warehouse}/dim_date"),
         sinks.read_version(spark, f"{warehouse}/dim_customer", version),
         sinks.read_version(spark, f"{warehouse}/dim_electric_meter", version),
@@ -201,12 +203,36 @@ def serve_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
     return rollups.register_views(*_star(spark, warehouse, version))
 
 
-def store_views(spark: SparkSession, warehouse: str, version: str) -> list[str]:
-    """Store the nine roll-ups under ``views``, for readers outside this session; returns their names."""
-    views = rollups.all_rollups(*_star(spark, warehouse, version))
-    for name, view in views.items():
-        sinks.write_version(view, f"{warehouse}/views/{name}", version)
-    return list(views)
+def store_views(spark: SparkSession, warehouse: str, version: str) -> dict[str, set[str]]:
+    """Bring the nine roll-ups stored under ``views`` up to the facts, for readers outside this session.
+
+    Only days and months that were loaded since are written; returns which, by roll-up.
+    """
+    return serving.refresh_views(spark, warehouse, version)
+
+
+def upsert_dimension(
+    spark: SparkSession, source: DataFrame, warehouse: str, name: str, today: date | None = None
+) -> dimension_store.Loaded:
+    """Load a dimension in place: only buckets of keys that have newer source rows are written."""
+    return dimension_store.upsert(spark, source, f"{warehouse}/current/{name}", DIMENSIONS[name], today)
+
+
+def reconcile_dimension(
+    spark: SparkSession, source: DataFrame, warehouse: str, name: str, load: bool = False
+) -> dict[str, int]:
+    """How many keys of a dimension differ from the source, by kind, whatever their dates say; loaded if asked for."""
+    table = f"{warehouse}/current/{name}"
+    found = dimension_store.reconcile(spark, source, table, DIMENSIONS[name])
+    kinds = {row["kind"]: row["count"] for row in found.keys.groupBy("kind").count().collect()}
+    if load and kinds:
+        dimension_store.load_differences(spark, source, table, DIMENSIONS[name])
+    return kinds
+
+
+def tidy(spark: SparkSession, table: str, days: float = 7) -> int:
+    """Remove what no reader of a table needs any more: folders that were replaced or never published."""
+    return snapshots.vacuum(spark, table, days * 24 * 3600)
 
 
 def export_readings(spark: SparkSession, path_glob: str, out: str, per: str = "hour") -> None:

@@ -399,4 +399,20 @@ ORACLES: dict[str, str] = {
                CAST(sum(delay) AS DOUBLE) / count(*) AS mean_ms
         FROM (SELECT ts, (epoch_us(ts) - epoch_us(date_trunc('second', ts))) // 1000 AS delay FROM events)
         GROUP BY ALL""",
+    "publish_fact_slices": _with(FACT, "SELECT * REPLACE (CAST(CAST(consumption AS DECIMAL(18,2)) AS DOUBLE) AS consumption) FROM fact"),
+    "refresh_daily_consumption_by_customer_type": _daily("c.customer_type", CUSTOMER),
+    "refresh_daily_consumption_by_location": _daily("m.location, m.iso_code", METER),
+    "speed_table_compacted": "SELECT user_id AS meter_id, value AS measure, ts AS datetime_measured FROM events",
+    "upsert_buckets_customer": _upsert("customer", "customer_id"),
+    "upsert_buckets_meter": _upsert("meter", "meter_id"),
+    "reconcile_customers": _with(
+        LOADS,
+        "SELECT s.customer_id, CASE WHEN t.customer_id IS NULL THEN 'missing' ELSE 'edited' END AS kind "
+        "FROM customer_source s LEFT JOIN ("
+        "SELECT * FROM customer_target WHERE customer_id NOT IN (SELECT customer_id FROM customer_fresh) "
+        "UNION ALL SELECT * FROM customer_fresh) t ON t.customer_id = s.customer_id "
+        "WHERE t.customer_id IS NULL OR s.customer_name <> t.customer_name OR s.address <> t.address "
+        "OR s.updated_date IS DISTINCT FROM t.updated_date",
+    ),
+    "load_silent_edits": _with(LOADS, "SELECT * FROM customer_source"),
 }

@@ -1,4 +1,4 @@
-"""File sinks. All of them can be run again without doubling rows."""
+"""File sinks beside those of ``snapshots``. All of them can be run again without doubling rows."""
 
 from __future__ import annotations
 
@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 from wattfold.functions.payload import moment_text
 
 
-def replace_slice(rows: DataFrame, table: str, column: str, value: object, partition_by: str) -> None:
-    """Write one slice of a partitioned table, such as a landing day, in place of what it held.
-
-    Running a load again leaves no second copy and nothing stale, and other slices are not
-    touched. ``rebalance`` gathers each partition into few files and splits one that is too big.
-    """
-    rows = rows.drop(column).hint("rebalance", partition_by)
-    rows.write.mode("overwrite").partitionBy(partition_by).parquet(f"{table}/{column}={value}")
-
-
 def write_version(table: DataFrame, base: str, version: str) -> None:
     """Write a new version of a table beside the one it may have been read from.
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattfold import schemas
 from wattfold.functions import payload
+from wattfold.streaming import speed
 
 LINE_KEY = (*schemas.READING_COLUMNS, "raw")
 
@@ -42,25 +43,29 @@ def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
-def ingest(parsed: DataFrame, table: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def ingest(
+    parsed: DataFrame, table: str, checkpoint: str, interval: str | None = None, compacted: bool = True
+) -> StreamingQuery:
     """Append parsed readings to the speed-layer table; valid and bad rows go to separate partitions.
 
-    Each batch owns one folder and overwrites it, so a batch repeated after a failure leaves
-    no second copy. Batches are numbered per checkpoint, hence the folder of the checkpoint's
-    name: a stream started afresh under a new name never touches what an older one wrote.
-    Without ``interval`` the stream takes what is there and stops.
+    A batch repeated after a failure is there once. Batches are numbered per checkpoint, so a run has the
+    checkpoint's name: a stream started afresh under a new name never touches what an older one
+    wrote. With ``compacted``, small batches are merged on the way. Without ``interval`` the stream takes
+    what is there and stops.
     """
     run = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy("valid").parquet(f"{table}/run={run}/batch_id={batch_id}")
+        speed.append_batch(batch, table, run, batch_id)
+        if compacted:
+            speed.compact(batch.sparkSession, table, run)
 
     columns = [*schemas.READING_COLUMNS, "raw", "valid"]
     return _start(parsed.select(*columns).writeStream.foreachBatch(write), checkpoint, interval)
 
 
 def read_speed_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(schemas.SPEED_READING).parquet(table)
+    return speed.read_speed_table(spark, table)
 
 
 def land_csv(
