@@ -1,7 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
 None for language ID (learned filters), sharding and packing (sequential placement), token files
-(merged tokens) and neighbours (approximate search): those are tested against brute force.
+(merged tokens), neighbours (approximate search) and language-model scores (learned weights): those are tested
+against brute force.
 """
 
 from __future__ import annotations
@@ -164,10 +165,155 @@ SELECT page_id, warc_type, record_id, refers_to, url AS target_uri, '{DATE}' AS
 FROM made
 """
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _crc_table() -> list[int]:
+    rows = []
+    for row in range(256):
+        for _ in range(8):
+            row = row >> 1 ^ 0xEDB88320 if row & 1 else row >> 1
+        rows.append(row)
+    return rows
+
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of a text's UTF-8 bytes, byte by byte."""
+    byte = f"cast('0x' || substr(hex(encode({text})), cast(2 * i - 1 AS bigint), 2) AS bigint)"
+    step = f"xor(c >> 8, {_crc_table()}[cast((xor(c, b) & 255) + 1 AS bigint)])"
+    all_ones = "cast(4294967295 AS bigint)"
+    made = f"list_prepend({all_ones}, list_transform(range(1, strlen({text}) + 1), lambda i: {byte}))"
+    return f"xor(4294967295, list_reduce({made}, lambda c, b: {step}))"
+
+
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS k FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_UPPER.lower()}') AS run
+        FROM documents)
+    WHERE length(run) >= 7 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, k, {_crc32("(coalesce(cast(doc_id AS varchar), '') || ':' || run)")} AS h FROM runs
+), words AS (
+    SELECT word, cast(sum(k) AS bigint) AS n FROM (
+        SELECT k, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+), cuts AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM words a JOIN cuts b ON b.rest = a.word
+    UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+), near AS (
+    SELECT word, other, m, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near
+    FROM pairs
+), forms AS (
+    SELECT w.word, other AS form, m FROM words w JOIN near ON near.word = w.word AND place = 1 WHERE m >= 10 * w.n
+), chain AS (
+    SELECT word, form AS root FROM forms
+    UNION SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root
+), roots AS (
+    SELECT word, root FROM chain WHERE root NOT IN (SELECT word FROM forms)
+)
+SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, form, f.m AS form_n, coalesce(root, w.word) AS root
+FROM words w LEFT JOIN (SELECT word, n_near FROM near WHERE place = 1) x ON x.word = w.word
+LEFT JOIN forms f ON f.word = w.word LEFT JOIN roots r ON r.word = w.word
+"""
+
+
+def _repair() -> str:
+    """Forward costs with the least edits and the repaired turns of each state, turn by turn."""
+    none = "{'c': 1000000000, 'a': '', 'o': ''}"
+
+    def state(cost: str, audit: str, turns: str) -> str:
+        return f"{{'c': {cost}, 'a': {audit}, 'o': {turns}}}"
+
+    def best(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def insert(of: str, role: str) -> str:
+        return state(f"{of}.c + 5", f"{of}.a || 'I'", f"{of}.o || chr(10) || '{role}:'")
+
+    def delete(of: str) -> str:
+        return state(f"{of}.c + 2", f"{of}.a || 'D'", f"{of}.o")
+
+    def keep(of: str, initial: str) -> str:
+        kept = state(f"{of}.c + r.more", f"{of}.a || 'K'", f"{of}.o || chr(10) || r.role || ':' || r.text")
+        return f"CASE WHEN r.forced OR r.initial <> '{initial}' THEN {none} ELSE {kept} END"
+
+    def rerole(of: str, role: str) -> str:
+        given = state(f"{of}.c + r.more + 1", f"{of}.a || 'R'", f"{of}.o || chr(10) || '{role}:' || r.text")
+        return f"CASE WHEN r.forced THEN {none} ELSE {given} END"
+
+    begun, told, asked, answered = (f"p.s{number}" for number in range(4))
+    users = [way for of in (begun, told, answered) for way in (keep(of, "u"), rerole(of, "user"))]
+    t1 = best(delete(told), keep(begun, "s"))
+    t2 = best(delete(asked), *users)
+    t3 = best(delete(answered), keep(asked, "a"), rerole(asked, "assistant"))
+    return rf"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(cast(conv_id AS varchar), ' ') || ':' || coalesce(cast(turn AS varchar), ' ') AS name
+    FROM conversations
+), faulty AS (
+    SELECT *, {_crc32("name")} % 20 AS fault FROM named
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM faulty WHERE fault <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS written
+    FROM damaged
+), told AS (
+    SELECT *, written = '' AS is_blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           substr(role, 1, 1) AS initial,
+           lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+), rows AS (
+    SELECT conv_id, i, role, text, initial, turn, is_blank, is_blank OR again AS forced, NOT is_blank AND again AS is_again,
+           NOT is_blank AND NOT again AND right(written, 1) NOT IN ('.', '!', '?') AS is_open, before,
+           CASE WHEN NOT is_blank AND NOT again AND right(written, 1) NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS more
+    FROM told
+), steps AS (
+    SELECT conv_id, cast(0 AS bigint) AS i, {state('cast(0 AS bigint)', "''", "''")} AS s0, {none} AS s1,
+           {{'c': cast(5 AS bigint), 'a': 'I', 'o': chr(10) || 'user:'}} AS s2,
+           {{'c': cast(10 AS bigint), 'a': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS s3
+    FROM (SELECT DISTINCT conv_id FROM rows)
+    UNION ALL
+    SELECT conv_id, i, s0, s1, {best('t2', insert('t3','user'))} AS s2, t3 AS s3
+    FROM (
+        SELECT conv_id, i, s0, s1, t2, {best('t3', insert('t2','assistant'))} AS t3
+        FROM (
+            SELECT conv_id, i, s0, s1, {best('t2', insert('s0','user'), insert('s1','user'), insert('t3','user'))} AS t2, t3
+            FROM (SELECT p.conv_id, r.i, {delete(begun)} AS s0, {t1} AS s1, {t2} AS t2, {t3} AS t3
+                  FROM steps p JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1)))
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_again) AS duplicate, count(*) FILTER (is_open) AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS last
+    FROM rows GROUP BY conv_id
+), ended AS (
+    SELECT c.*, {best('s0', 's3')} AS best
+    FROM counted c JOIN steps s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.i = c.last
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_chat_format": CHAT,
     "op3_jaccard_join": JACCARD,
     "op7_source_mix": MIX,
     "op8_exact_dedup": DEDUP,
     "op9_warc_derivatives": WARC,
+    "op11_structure_repair": _repair(),
+    "op12_spelling_variants": SPELLING,
 }
