@@ -123,6 +123,19 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(frame.limit(0)).count() == 0
 
 
+def test_control_strings_cut_across_role_and_text(spark):
+    rows = []
+    for control in ("<s>", "</s>", "[INST]", "[/INST]"):
+        for cut in range(len(control) + 1):
+            for before, after in (("", ""), ("a", " x"), ("\\", "\\")):
+                rows.append((len(rows), 0, before + control[:cut], control[cut:] + after))
+                rows.append((len(rows), 0, "assistant" + control[:cut], control[cut:] + after + control))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    read = chat.format_chats(frame).select("conv_id", chat.parse(F.col("formatted")).alias("t")).collect()
+    assert {row.conv_id: tuple(row.t[0]) for row in read} == {row[0]: row[2:] for row in rows}
+    assert all(len(row.t) == 1 for row in read)
+
+
 def shingle_classes(rows, words, percent):
     sets = {}
     for i, text in rows:

@@ -42,7 +42,8 @@ def parse(formatted: Column) -> Column:
     def turn(segment: Column) -> Column:
         halves = F.split(F.substring(segment, len(OPEN) + 1, 2147483647), r"\[/INST\]", 2)
         whole = segment.startswith(OPEN) & (F.size(halves) == 2)
-        clean = ~F.concat_ws("", halves).rlike(_CONTROL)
+        # Each half alone: a control string made up across the mark is none.
+        clean = ~halves[0].rlike(_CONTROL) & ~halves[1].rlike(_CONTROL)
         return F.when(
             whole & clean, F.struct(unescape(halves[0]).alias("role"), unescape(halves[1]).alias("text"))
         )
