@@ -29,6 +29,15 @@ def test_null_ids_keep_their_own_texts(spark, rows, want):
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(want)
 
 
+def test_carried_values_are_each_rows_own(spark):
+    rows = [(1, "a", 10, "x"), (1, "a", 20, "y"), (1, "a", 20, "y"), (1, "a", None, None), (2, "b", 5, "z"), (None, "c", 1, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int, __part string")
+    found = exact_dedup.exact_duplicates(spark, docs, carry=["n", "__part"])
+    got = Counter((r.doc_id, r.n, r["__part"], r.group_size, r.kept) for r in found.collect())
+    assert got == Counter([(1, 10, "x", 4, False), (1, 20, "y", 4, True), (1, 20, "y", 4, False), (1, None, None, 4, False),
+                           (2, 5, "z", 1, True), (None, 1, "n", 1, True)])
+
+
 @pytest.mark.parametrize("rare", [1, 3])
 def test_rare_languages_are_learned_beside_a_large_one(spark, rare):
     rnd = random.Random(11)

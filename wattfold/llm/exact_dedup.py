@@ -49,31 +49,32 @@ def _hash(text: Column) -> Column:
 
 
 def _classified(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str]) -> DataFrame:
-    """``__id, carry, keep_id, group_size, kept`` and the full hash, null where none was needed."""
+    """``__id, __carry, keep_id, group_size, kept`` and the full hash, null where none was needed."""
     steps = _steps(id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("__id"), *carry, *steps)
+    carried = (F.struct(*carry) if carry else F.lit(0)).alias("__carry")
+    rows = docs.select(F.col(id_col).alias("__id"), carried, *steps)
     signs = stored(spark, rows, "dedup-signs")
     groups = _surviving(spark, signs)
     read = docs.select(
-        F.col(id_col).alias("__id"), _content(text_col).alias("__text"), *carry, *steps
+        F.col(id_col).alias("__id"), _content(text_col).alias("__text"), carried, *steps
     ).join(groups, ["__length", "__prefix", "__part"], "left_semi")
     hashed = stored(
-        spark, read.select("__id", *carry, "__part", _hash(F.col("__text")).alias("__hash")), "dedup-hashes"
+        spark, read.select("__id", "__carry", "__part", _hash(F.col("__text")).alias("__hash")), "dedup-hashes"
     )
-    # Rows equal in text and id: one row for each, with how many there are.
-    alike = hashed.groupBy("__hash", "__part", "__id").agg(
-        F.count("*").alias("__times"), *[F.first(name).alias(name) for name in carry]
-    )
-    parts = hashed.groupBy("__hash", "__part").agg(F.max("__id").alias("__most"), F.count("*").alias("__rows"))
+    # Rows equal in text, id and what is carried: one row for each, with how many there are.
+    alike = hashed.groupBy("__hash", "__part", "__id", "__carry").agg(F.count("*").alias("__times"))
+    row = F.struct("__id", "__carry")
+    parts = hashed.groupBy("__hash", "__part").agg(F.max(row).alias("__most"), F.count("*").alias("__rows"))
     parts = stored(spark, parts, "dedup-parts")
-    best = parts.groupBy("__hash").agg(F.max("__most").alias("keep_id"), F.sum("__rows").alias("group_size"))
+    best = parts.groupBy("__hash").agg(F.max("__most").alias("__keep"), F.sum("__rows").alias("group_size"))
     found = alike.join(parts.select("__hash", "__part").join(best, "__hash"), ["__hash", "__part"])
-    first = F.col("__id").eqNullSafe(F.col("keep_id"))
+    first = row.eqNullSafe(F.col("__keep"))
     found = found.withColumn("__copy", F.explode(F.expr("sequence(1L, __times)"))).select(
-        "__id", *carry, "keep_id", "group_size", (first & (F.col("__copy") == 1)).alias("kept"), "__hash"
-    )
+        "__id", "__carry", F.col("__keep.__id").alias("keep_id"), "group_size",
+        (first & (F.col("__copy") == 1)).alias("kept"), "__hash",
+    )
     alone = signs.join(groups, ["__length", "__prefix", "__part"], "left_anti").select(
-        "__id", *carry, F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        "__id", "__carry", F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.lit(None).cast("binary").alias("__hash"),
     )
     return alone.unionByName(found)
@@ -86,13 +87,14 @@ def exact_duplicates(
 
     Returns ``id, keep_id, group_size, kept`` for every row, with the columns named in ``carry``. Of
     equal texts the row with the largest id stays (null ids come before all others); of rows equal in
-    text and id, one. Null counts as empty. Texts are grouped by length, then by the hash of their
+    text and id, one with the largest carried values. Each row keeps its own; they must have an order. Null counts as empty. Texts are grouped by length, then by the hash of their
     first characters; only those still in a group with others are read in full and hashed with
     SHA-256. Rows of a group are counted where they lie before they move, groups meet in parts, and
     none is ever gathered. Columns that are neither named nor carried are not looked at.
     """
     rows = _classified(spark, docs, id_col, text_col, carry)
-    return rows.select(F.col("__id").alias(id_col), *carry, "keep_id", "group_size", "kept")
+    carried = [F.col("__carry")[name].alias(name) for name in carry]
+    return rows.select(F.col("__id").alias(id_col), *carried, "keep_id", "group_size", "kept")
 
 
 def without_duplicates(
