@@ -1,4 +1,5 @@
 import os
+import random
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from rows import bag, table
 
 from wattfold import schemas
+from wattfold.sinks import snapshots
 from wattfold.sources import files
 from wattfold.streaming import ingest
 
@@ -105,6 +107,18 @@ def test_repeats_are_dropped_across_batches_and_restarts(spark, folder):
     assert bag(topic.table(), *schemas.READING_COLUMNS) == Counter(row for _, row in sent)
 
 
+def test_a_stream_started_afresh_drops_what_the_table_has(spark, folder):
+    topic = Topic(spark, folder)
+    sent = [reading(n) for n in range(30)]
+    topic.send(*[line for line, _ in sent], "bad")
+    for checkpoint in ("first", "second"):
+        parsed = ingest.drop_repeats(ingest.parse_messages(topic.stream()))
+        ingest.ingest(parsed, f"{folder}/table", f"{folder}/{checkpoint}", delay="1 day").awaitTermination()
+        topic.send(sent[3][0], sent[29][0])
+    assert bag(topic.table().where("valid"), *schemas.READING_COLUMNS) == Counter(row for _, row in sent)
+    assert topic.table().where("NOT valid").count() == 1
+
+
 def test_a_late_reading_is_kept(spark, folder):
     topic = Topic(spark, folder)
     late, row = reading(-24 * 60)
@@ -149,3 +163,39 @@ def test_delay_of_valid_readings(spark, folder):
     report = ingest.delay_report(ingest.ingest_delay(parsed, F.col("timestamp"))).collect()
     assert [tuple(row) for row in report] == [(START.date(), 1, 250.0, 250, 250, 250)]
     assert ingest.ingest_delay(parsed).first().delay_ms > 0
+
+
+def test_percentiles_of_added_histograms_are_near_the_exact_ones(spark):
+    rnd = random.Random(9)
+    sizes = [int(rnd.lognormvariate(6, 2)) for _ in range(4000)] + [-5, -300, 0]
+    rows = [(START + timedelta(days=n % 2), size) for n, size in enumerate(sizes)]
+    delays = table(spark, "datetime_measured timestamp_ntz, delay_ms bigint", *rows)
+    parts = [ingest.delay_histogram(delays.where(F.pmod("delay_ms", F.lit(3)) == n)) for n in range(3)]
+    merged = ingest.merge_histograms(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    report = {row.day: row for row in ingest.histogram_report(merged).collect()}
+    assert bag(ingest.delay_report(delays)) == bag(ingest.histogram_report(merged))
+    for day in range(2):
+        exact = sorted(size for at, size in rows if at.day == START.day + day)
+        row = report[(START + timedelta(days=day)).date()]
+        assert (row.readings, row.max_ms) == (len(exact), exact[-1]) and abs(row.mean_ms - sum(exact) / len(exact)) < 1e-6
+        for percent, found in ((50, row.p50_ms), (95, row.p95_ms)):
+            true = exact[-(-percent * len(exact) // 100) - 1]
+            assert found <= true < found * (1 + 1 / 64) + 1
+    assert merged.groupBy("day").count().agg(F.max("count")).first()[0] < 2000
+
+
+def test_delays_are_counted_once_over_batches_and_failures(spark, folder):
+    topic = Topic(spark, folder)
+    for n in range(3):
+        topic.send(reading(n)[0], reading(n + 10)[0])
+
+    def count():
+        delays = ingest.ingest_delay(ingest.parse_messages(topic.stream()), F.col("timestamp"))
+        ingest.count_delays(delays, f"{folder}/delays", f"{folder}/delays-checkpoint").awaitTermination()
+        merged = ingest.merge_histograms(snapshots.read(spark, f"{folder}/delays"))
+        return ingest.histogram_report(merged).agg(F.sum("readings")).first()[0]
+
+    assert count() == 6
+    for name in ("2", ".2.crc"):
+        os.remove(f"{folder}/delays-checkpoint/commits/{name}")
+    assert count() == 6

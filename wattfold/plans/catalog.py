@@ -397,11 +397,8 @@ def ingest_latency(bed: Testbed) -> DataFrame:
     folder = scratch_dir(bed.spark, "latency")
     messages = bed.messages().withColumn("timestamp", payload.instant(F.col("timestamp"), METER_ZONE))
     delays = ingest.ingest_delay(ingest.parse_messages(messages), F.col("timestamp"), METER_ZONE)
-    stream = delays.writeStream.format("parquet").option("path", f"{folder}/delays")
-    stream = stream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
-    stream.start().awaitTermination()
-    report = ingest.delay_report(bed.spark.read.parquet(f"{folder}/delays"))
-    return report.select("day", "readings", "mean_ms", "max_ms")
+    ingest.count_delays(delays, f"{folder}/delays", f"{folder}/checkpoint").awaitTermination()
+    return ingest.histogram_report(ingest.merge_histograms(snapshots.read(bed.spark, f"{folder}/delays")))
 
 
 # Stored tables that are switched in one step.
@@ -466,6 +463,16 @@ def speed_table_compacted(bed: Testbed) -> DataFrame:
     return speed.read_speed_table(bed.spark, table).where("valid").select(*schemas.READING_COLUMNS)
 
 
+@query
+def stream_late_repeats(bed: Testbed) -> DataFrame:
+    """Every message is sent again to a stream that remembers nothing; the table does."""
+    folder = scratch_dir(bed.spark, "repeats")
+    for run in ("first", "second"):
+        parsed = ingest.drop_repeats(ingest.parse_messages(bed.messages()))
+        ingest.ingest(parsed, f"{folder}/table", f"{folder}/{run}", delay="1 day").awaitTermination()
+    return ingest.read_speed_table(bed.spark, f"{folder}/table").where("valid").select(*schemas.READING_COLUMNS)
+
+
 def _bucketed(bed: Testbed, source: DataFrame, target: DataFrame, dimension: dimensions.Dimension) -> str:
     """A dimension by buckets, with the target loaded and then the source."""
     table = scratch_dir(bed.spark, "dimension")

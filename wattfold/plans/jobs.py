@@ -262,8 +262,9 @@ def start_landing(
 def start_speed_layer(
     messages: DataFrame, table: str, checkpoint: str, interval: str | None = "10 seconds", delay: str | None = "1 day"
 ) -> StreamingQuery:
-    """Messages into the speed-layer table; repeats within ``delay`` are dropped unless it is None."""
+    """Messages into the speed-layer table. Repeats are dropped unless ``delay`` is None: those within it by what
+    the stream remembers, later ones by a look at the days they were measured."""
     parsed = ingest.parse_messages(messages)
     if delay is not None:
         parsed = ingest.drop_repeats(parsed, delay)
-    return ingest.ingest(parsed, table, checkpoint, interval)
+    return ingest.ingest(parsed, table, checkpoint, interval, delay=delay)

@@ -395,10 +395,19 @@ ORACLES: dict[str, str] = {
     "stream_dedup_readings": f"SELECT DISTINCT * FROM ({LANDED} FROM events)",
     "stream_land_csv": f"{LANDED}, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS land_day FROM events",
     "ingest_latency": """
-        SELECT CAST(ts AS DATE) AS day, count(*) AS readings, max(delay) AS max_ms,
-               CAST(sum(delay) AS DOUBLE) / count(*) AS mean_ms
-        FROM (SELECT ts, (epoch_us(ts) - epoch_us(date_trunc('second', ts))) // 1000 AS delay FROM events)
+        WITH delays AS (
+            SELECT CAST(ts AS DATE) AS day, (epoch_us(ts) - epoch_us(date_trunc('second', ts))) // 1000 AS delay FROM events
+        ), placed AS (
+            SELECT *, greatest(length(bin(delay)) - 7, 0) AS cut, count(*) OVER (PARTITION BY day) AS n,
+                   row_number() OVER (PARTITION BY day ORDER BY delay) AS place
+            FROM delays
+        )
+        SELECT day, count(*) AS readings, max(delay) AS max_ms, CAST(sum(delay) AS DOUBLE) / count(*) AS mean_ms,
+               max(CASE WHEN place = (50 * n + 99) // 100 THEN (delay >> cut) << cut END) AS p50_ms,
+               max(CASE WHEN place = (95 * n + 99) // 100 THEN (delay >> cut) << cut END) AS p95_ms
+        FROM placed
         GROUP BY ALL""",
+    "stream_late_repeats": f"SELECT DISTINCT * FROM ({LANDED} FROM events)",
     "publish_fact_slices": _with(FACT, "SELECT * REPLACE (CAST(CAST(consumption AS DECIMAL(18,2)) AS DOUBLE) AS consumption) FROM fact"),
     "refresh_daily_consumption_by_customer_type": _daily("c.customer_type", CUSTOMER),
     "refresh_daily_consumption_by_location": _daily("m.location, m.iso_code", METER),

@@ -65,9 +65,9 @@ def refresh(
         return touched
     measure = MEASURES[view]
     read = [name for name, part in fact.slices.items() if _periods(name, part.parts) & touched]
-    rows = snapshots.read(spark, fact_table, read, fact)
-    if same:
-        rows = rows.where(F.col("date_id").isin(sorted(map(int, touched))))
+    # Of consumption only the touched days' folders are listed; a slice of bills is a month as a whole.
+    cut = ("date_id", touched) if measure == "consumption" and same else None
+    rows = snapshots.read(spark, fact_table, read, fact, cut)
     rows = rows.select(*[name for name in rows.columns if name not in ("land_day", "customer_type")])
     period = rollups.DAY if measure == "consumption" else rollups.MONTH
     summed = _rollup(view, rows, days, customers, meters)

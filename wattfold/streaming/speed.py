@@ -4,13 +4,15 @@ A slice holds a range of batches of one run (a stream's checkpoint). A new batch
 ``FAN`` slices of a level become one of the next level in a single entry of the log, so a reader has every
 reading once before, during and after. With n batches there are at most ``FAN`` slices per level and
 log n levels, and each reading is written once per level. Slices of ``FULL`` bytes are merged no further.
+Readings lie by the day they were measured, so a slice's parts say which days it has.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,6 +21,9 @@ from wattfold.sinks import snapshots
 from wattfold.sinks.snapshots import Slice, Snapshot
 
 FAN, FULL = 8, 64 << 30
+# The folder of a measured day, its name where there is none, and what makes two lines the same.
+DAY, NO_DAY = "measured_day", "__HIVE_DEFAULT_PARTITION__"
+LINE = (*schemas.READING_COLUMNS, "raw")
 
 
 class Batches(NamedTuple):
@@ -45,17 +50,25 @@ def last_batch(snapshot: Snapshot, run: str) -> int:
     return max((found.last for found in map(_batches, snapshot.slices) if found.run == run), default=-1)
 
 
-def append_batch(batch: DataFrame, table: str, run: str, batch_id: int) -> bool:
+def append_batch(batch: DataFrame, table: str, run: str, batch_id: int, known_before: Column | None = None) -> bool:
     """Add a batch once: one that the table has, on its own or merged, is left as it is.
 
-    Batches of a run come in order, as a stream's do, so those up to the last are there.
+    Batches of a run come in order, as a stream's do, so those up to the last are there. Readings measured
+    before ``known_before``, and bad lines, are looked up in the table and left out if they are there: repeats
+    that come later than a stream remembers. Only the measured days of such readings are read, so what is
+    remembered is the table itself and what is read follows the late readings, not the table.
     """
     spark = batch.sparkSession
     if batch_id <= last_batch(snapshots.current(spark, table), run):
         return False
-    rows = batch.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
-    schema = StructType.fromDDL(schemas.SPEED_READING)
-    made = snapshots.write_folder(rows.select(*schema.names), table, "valid")
+    rows = batch.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint"), DAY: measured_day()})
+    if known_before is None:
+        made = _write(rows, table)
+    else:
+        rows = rows.persist()
+        made = _write(_unknown(rows, table, known_before), table)
+        rows.unpersist()
+    schema = _schema()
 
     def change(before: Snapshot) -> tuple[dict[str, Slice], dict[str, object]] | None:
         if batch_id <= last_batch(before, run):
@@ -66,6 +79,35 @@ def append_batch(batch: DataFrame, table: str, run: str, batch_id: int) -> bool:
     return True
 
 
+def measured_day() -> Column:
+    """The day that a reading was measured, as the folder that it goes to; null for bad lines."""
+    return F.date_format("datetime_measured", "yyyyMMdd").cast("int")
+
+
+def _schema() -> StructType:
+    return StructType.fromDDL(f"{schemas.SPEED_READING}, {DAY} INT")
+
+
+def _write(rows: DataFrame, table: str) -> Slice:
+    return snapshots.write_folder(rows.select(*_schema().names), table, DAY)
+
+
+def _unknown(rows: DataFrame, table: str, known_before: Column) -> DataFrame:
+    late = F.coalesce(F.col("datetime_measured") < known_before, F.lit(True))
+    days = [row[0] for row in rows.where(late).select(DAY).distinct().collect()]
+    spark = rows.sparkSession
+    if not days or snapshots.current(spark, table).version < 0:
+        return rows
+    known = read_days(spark, table, days).select(*[F.col(name).alias(f"__{name}") for name in LINE])
+    same = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in LINE]
+    return rows.where(~late).unionByName(rows.where(late).join(known, same, "left_anti"))
+
+
+def read_days(spark: SparkSession, table: str, days: Iterable[int | None]) -> DataFrame:
+    """The readings measured on some days; nothing but their folders is listed or opened."""
+    return snapshots.read(spark, table, parts=(DAY, {NO_DAY if day is None else str(day) for day in days}))
+
+
 def _next_merge(snapshot: Snapshot, run: str | None) -> list[Batches]:
     """The oldest ``FAN`` slices of a run and level that has so many; none if no level has."""
     groups: dict[tuple[str, int], list[Batches]] = {}
@@ -88,7 +130,7 @@ def compact(spark: SparkSession, table: str, run: str | None = None) -> int:
     while members := _next_merge(snapshot := snapshots.current(spark, table), run):
         names = [found.name for found in members]
         # Slices without rows have no files; merged they are a slice without rows.
-        made = snapshots.write_folder(snapshots.read(spark, table, names, snapshot), table, "valid")
+        made = _write(snapshots.read(spark, table, names, snapshot), table)
         merged = Batches(members[0].run, members[0].level + 1, members[0].first, members[-1].last)
 
         def change(before: Snapshot) -> tuple[dict[str, Slice], dict[str, object]] | None:
@@ -103,4 +145,4 @@ def compact(spark: SparkSession, table: str, run: str | None = None) -> int:
 
 
 def read_speed_table(spark: SparkSession, table: str) -> DataFrame:
-    return snapshots.read(spark, table)
+    return snapshots.read(spark, table).drop(DAY)
