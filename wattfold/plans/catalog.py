@@ -405,9 +405,9 @@ def ingest_latency(bed: Testbed) -> DataFrame:
 
 
 def _landing_days(bed: Testbed) -> dict[str, DataFrame]:
-    """The consumption of the readings that each of three landing days brought; days of measurement are in several."""
+    """The consumption of the events that each of three landing days brought; days of measurement are in several."""
     late = F.hour("datetime_measured") >= 20
-    readings = bed.readings()
+    readings = bed.event_readings()
     bridge = bed.stored(bed.bridge(), "landing-bridge")
     parts = {"20240201": readings.where(~late), "20240202": readings.where(late & (F.col("meter_id") % 2 == 0)),
              "20240203": readings.where(late & (F.col("meter_id") % 2 == 1))}
@@ -452,12 +452,12 @@ def refresh_daily_consumption_by_location(bed: Testbed) -> DataFrame:
 
 @query
 def speed_table_compacted(bed: Testbed) -> DataFrame:
-    """Readings of a table of twenty batches, sixteen of them merged; one batch is sent again after its merge."""
+    """Readings of a table of ten batches, eight of them merged; one batch is sent again after its merge."""
     table = scratch_dir(bed.spark, "speed-batches")
     rows = bed.event_readings().withColumn("measure", F.col("measure").cast("double"))
     rows = rows.withColumns({"raw": F.lit(None).cast("string"), "valid": F.lit(True)})
-    batches = bed.stored(rows.withColumn("part", F.pmod(F.xxhash64("meter_id"), F.lit(20))), "batches")
-    for part in [*range(20), 3]:
+    batches = bed.stored(rows.withColumn("part", F.pmod(F.xxhash64("meter_id"), F.lit(10))), "batches")
+    for part in [*range(10), 3]:
         speed.append_batch(batches.where(F.col("part") == part).drop("part"), table, "run", part)
         speed.compact(bed.spark, table)
     return speed.read_speed_table(bed.spark, table).where("valid").select(*schemas.READING_COLUMNS)
