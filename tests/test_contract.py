@@ -14,7 +14,7 @@ from wattfold.operators import calendar, checks, consumption, dimensions, revenu
 from wattfold.plans.catalog import QUERIES
 from wattfold.plans.oracle import ORACLES
 from wattfold.plans.testbed import Testbed
-from wattfold.sinks import files as sinks
+from wattfold.sinks import snapshots
 from wattfold.sources import seeds
 
 STREAMS = {name for name in QUERIES if name.startswith("stream_")} | {"ingest_latency"}
@@ -79,8 +79,8 @@ def test_a_small_stored_slice_leaves_the_target_unshuffled(spark, folder):
 def test_a_month_prunes_the_partitions_of_the_fact(spark, folder, small):
     bed = Testbed(spark, small)
     january = consumption.daily_consumption(bed.event_readings(), bed.bridge())
-    sinks.replace_slice(january, f"{folder}/fact", "land_day", 20240201, "date_id")
-    fact = spark.read.parquet(f"{folder}/fact")
+    snapshots.replace_slice(january, f"{folder}/fact", "land_day", 20240201, "date_id")
+    fact = snapshots.read(spark, f"{folder}/fact")
     month = revenue.monthly_consumption(fact, bed.dim_date(), bed.customers(), "residential", year=2024, month=1)
     filters = next(line for line in plan(month).splitlines() if "PartitionFilters" in line)
     assert "20240101" in filters and "20240131" in filters
