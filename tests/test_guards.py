@@ -10,20 +10,22 @@ from wattfold.functions import tariff
 from wattfold.operators import dimensions
 from wattfold.plans import jobs
 from wattfold.plans.catalog import QUERIES
+from wattfold.sinks import snapshots
 from wattfold.streaming import ingest
 
 
 def test_a_month_outside_the_calendar_leaves_bills_alone(spark, folder):
     jobs.load_calendar(spark, folder)
-    bills = f"{folder}/fact_revenue/date_id=20250601"
-    spark.range(3).write.parquet(bills)
+    bills = f"{folder}/fact_revenue"
+    rows = spark.range(3).select(F.col("id").alias("meter_id"), F.lit("x").alias("customer_type"), F.lit(20250601).alias("date_id"))
+    published = snapshots.replace_slice(rows, bills, "date_id", 20250601, "customer_type")
     jobs.seed_prices(spark, folder)
     prices = jobs.read_prices(spark, folder)
     with pytest.raises(ValueError, match="2025-06"):
         jobs.load_revenue(spark, folder, 2025, 6, "v", prices)
-    assert spark.read.parquet(bills).count() == 3 and os.listdir(bills)
+    assert snapshots.read(spark, bills).count() == 3 and snapshots.current(spark, bills) == published
     jobs.load_calendar(spark, folder, date(2025, 6, 1), date(2025, 6, 30))
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # the calendar is no obstacle now, the fact is missing
+    with pytest.raises(FileNotFoundError, match="fact_power_consumption"):  # the calendar is no obstacle now, the fact is missing
         jobs.load_revenue(spark, folder, 2025, 6, "v", prices)
 
 
