@@ -3,11 +3,13 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wattfold.llm import exact_dedup, jaccard, language_id
+from wattfold.llm.shingles import bits_apart, folded, most_apart, signatures
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -56,11 +58,10 @@ def test_rare_languages_are_learned_beside_a_large_one(spark, rare):
 
 def test_a_hot_keys_pairs_are_made_once_in_tiles_of_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE", 64, raising=False)
-    n, width = 600, len(jaccard._SKETCH)
-    sketch = ", ".join(f"{name} long" for name in jaccard._SKETCH)
-    rows = [(1, i, 40 + i % 3, i, n, *[0] * width) for i in range(n)]
-    rows += [(2, 1000 + i, 40, i // 2, 4, *[0] * width) for i in range(4)]
-    members = spark.createDataFrame(rows, f"key long, c long, n long, label long, size long, {sketch}")
+    n, sketch = 600, bytes(64)
+    rows = [(1, i, 40 + i % 3, i, n, sketch) for i in range(n)]
+    rows += [(2, 1000 + i, 40, i // 2, 4, sketch) for i in range(4)]
+    members = spark.createDataFrame(rows, "key long, c long, n long, label long, size long, sketch binary")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
@@ -84,7 +85,35 @@ def test_a_hot_key_meets_its_first_member(spark, monkeypatch):
     want = sorted((1, 0, 9, c, 9) for c in range(1, 300)) + [(3, 9, 4, 8, 5)]
     for hot in (100_000, 0):
         monkeypatch.setattr(jaccard, "HOT", hot)
-        assert sorted(map(tuple, jaccard._meetings(spark, keys).collect())) == want
+        assert sorted(map(tuple, jaccard._meetings(spark, keys, keys).collect())) == want
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_refuse_unlike_sets_of_any_size(percent):
+    rnd = np.random.default_rng(5)
+    for n in (100, 900, 2_000, 5_000, 40_000):
+        sets = [rnd.integers(0, 1 << 63, m, dtype=np.uint64) for m in (n, n, n * 9 // 10)]
+        sets.append(np.concatenate([sets[0][: n - n // 20], rnd.integers(0, 1 << 63, n // 20, dtype=np.uint64)]))
+        owners = np.repeat(np.arange(4), [len(x) for x in sets])
+        sizes, _, _, sketch = signatures(owners, np.concatenate(sets), 4, percent)
+        width = min(len(x.as_py()) for x in sketch)
+        rows = folded(sketch, width)
+        i, j = np.array([0, 0, 1, 0]), np.array([1, 2, 2, 3])
+        near = bits_apart(rows, rows, i, j) <= most_apart(sizes[i] + sizes[j], percent)
+        assert near.tolist() == [False, False, False, True]
+
+
+def test_long_texts_with_and_without_links(spark):
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(3_000)]
+    bases = [[rnd.choice(words) for _ in range(5_000)] for _ in range(4)]
+    passage = [rnd.choice(words) for _ in range(600)]
+    texts = [" ".join(base + passage) for base in bases]
+    for base, cut in zip(bases, (5, 40, 700, 1_500), strict=True):
+        changed = base[: len(base) - cut] + [rnd.choice(words) for _ in range(cut)]
+        texts.append(" ".join(changed + passage))
+    found = jaccard.similar_documents(spark, docs_of(spark, list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.component_id for r in found} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0, 5: 1, 6: 6, 7: 7}
 
 
 def test_unlike_sets_of_a_hot_key_in_small_tiles(spark, monkeypatch):

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattfold.llm.common import spread, stored, text_blocks
 from wattfold.llm.components import components
-from wattfold.llm.shingles import SKETCH_BITS, block_keys, most_apart, shingle_sets, signatures
+from wattfold.llm.shingles import bits_apart, block_keys, folded, most_apart, shingle_sets, signatures
 
 # What near-duplicate stages take unless told otherwise.
 WORDS, PERCENT = 5, 80
@@ -24,25 +25,26 @@ GROWTH = 64
 # Sets of a key, in expectation, that one task compares with as many others; and how many of either it
 # lays out at a time.
 TILE, SLICE = 2_048, 512
+# Pairs that a task remembers, so as not to give one again for each key that both sets have.
+KNOWN_PAIRS = 1 << 19
 # Rows of a key from which its first round is not one task's. A sample of one set in ``SAMPLE`` tells
 # such keys; either way gives the same meetings.
 HOT, SAMPLE = 100_000, 32
 # Pairs of sets for which one way of dealing a set's partners to tasks is enough.
 FAN = 100_000
 
-_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
-
-def _sets(docs: DataFrame, words: int) -> DataFrame:
+def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
             owners, hashes = shingle_sets(block.column("text"), words)
-            sizes, first, second, sketch = signatures(owners, hashes, block.num_rows)
-            columns = [pa.array(x) for x in (sizes.astype(np.int64), first, second, *sketch.T.copy())]
-            yield pa.RecordBatch.from_arrays([block.column("id"), *columns], ["id", "n", "c", "c2", *_SKETCH])
+            sizes, first, second, sketch = signatures(owners, hashes, block.num_rows, percent)
+            columns = [pa.array(x) for x in (sizes.astype(np.int64), first, second)]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("id"), *columns, sketch], ["id", "n", "c", "c2", "sketch"]
+            )
 
-    kinds = ", ".join(f"{name} long" for name in ("id", "n", "c", "c2", *_SKETCH))
-    return docs.mapInArrow(signed, kinds)
+    return docs.mapInArrow(signed, "id long, n long, c long, c2 long, sketch binary")
 
 
 def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -53,7 +55,7 @@ def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
         seen: set[int] = set()
         for block in text_blocks(batches, "text"):
             owners, hashes = shingle_sets(block.column("text"), words)
-            sizes, first, _, _ = signatures(owners, hashes, block.num_rows)
+            sizes, first, _, _ = signatures(owners, hashes, block.num_rows, percent)
             fresh = np.zeros(block.num_rows, bool)
             for row, name in enumerate(first.tolist()):
                 if name not in seen:
@@ -69,24 +71,29 @@ def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(keyed, "key long, n int, c long")
 
 
-def _hot_heads(keys: DataFrame) -> DataFrame:
-    """Keys that very many rows have, each with its least member; ``HOT`` bounds how many there are."""
-    sample = keys.where(spread(F.lit(13), "c") % SAMPLE == 0).groupBy("key").count()
-    hot = F.broadcast(sample.where(F.col("count") > HOT // SAMPLE).select("key"))
-    heads = keys.join(hot, "key", "left_semi").groupBy("key").agg(F.min(F.struct("n", "c")).alias("head"))
+def _hot_heads(sample: DataFrame) -> DataFrame:
+    """Keys that very many rows have, each with one of its members.
+
+    ``sample`` has the keys of one set in ``SAMPLE``. How many hot keys there are is bounded by the
+    sample's rows over ``HOT / SAMPLE``; Spark's own check of their table's size says if they are told to
+    all tasks.
+    """
+    heads = sample.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct("n", "c")).alias("head"))
+    heads = heads.where(F.col("rows") > HOT // SAMPLE)
     return heads.select("key", F.col("head.n").alias("head_n"), F.col("head.c").alias("head_c"))
 
 
-def _meetings(spark: SparkSession, keys: DataFrame) -> DataFrame:
-    """Members of keys that more than one set has, each but the first with the first.
+def _meetings(spark: SparkSession, keys: DataFrame, sample: DataFrame) -> DataFrame:
+    """Members of keys that more than one set has, each but one with that one.
 
-    ``keys`` must be a stored table. Keys pass through tasks whole, but for hot ones: their first
-    members are told to the rows where they lie.
+    Keys pass through tasks whole, but for hot ones: one member of each, found in the ``sample`` of
+    keys, is told to the others where they lie. Keys go straight into their groups; they are stored
+    only if hot ones make them be read twice.
     """
-    heads = stored(spark, _hot_heads(keys), "jaccard-hot")
+    heads = stored(spark, _hot_heads(sample), "jaccard-hot")
     rows, hot = keys, None
     if not heads.isEmpty():
-        heads = F.broadcast(heads)
+        keys = stored(spark, keys, "jaccard-keys")
         rows = keys.join(heads, "key", "left_anti")
         hot = keys.join(heads, "key").where((F.col("n") != F.col("head_n")) | (F.col("c") != F.col("head_c")))
         hot = hot.select(
@@ -141,7 +148,7 @@ def _later_pairs(members: DataFrame, first: int, last: int, percent: int) -> Dat
     # Tiles of the members that others are compared with.
     least = F.shiftright(F.col("low") * F.col("tiles"), 31)
     most = F.shiftright((F.col("high") - 1) * F.col("tiles"), 31)
-    rows = ["key", "at", "n", "c", "label", *_SKETCH]
+    rows = ["key", "at", "n", "c", "label", "sketch"]
     held = members.where("at >= low AND at < high").select(
         F.col("tile").alias("tile_a"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("tile_b"),
         F.lit(0).alias("role"), *rows,
@@ -154,31 +161,38 @@ def _later_pairs(members: DataFrame, first: int, last: int, percent: int) -> Dat
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("at", "c", "n", "label")
         current, parts, pivots = None, [], None
+        known: set[tuple[int, int]] = set()
         for batch in batches:
             key, tile_a, tile_b, role = (batch.column(x).to_numpy() for x in ("key", "tile_a", "tile_b", "role"))
             if not len(key):
                 continue
             columns = [batch.column(x).to_numpy() for x in names]
-            columns.append(np.stack([batch.column(x).to_numpy() for x in _SKETCH], axis=1))
+            sketches = batch.column("sketch")
             group = np.stack([key, tile_a, tile_b, role], axis=1)
             starts = np.concatenate([[0], np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1, [len(key)]])
             for begin, end in zip(starts, starts[1:], strict=False):
                 this = tuple(group[begin, :3])
                 if this != current:
                     current, parts, pivots = this, [], None
-                rows = [x[begin:end] for x in columns]
+                rows = [*[x[begin:end] for x in columns], sketches.slice(begin, end - begin)]
                 if role[begin] == 0:
                     parts.append(rows)
                     continue
                 if not parts:
                     continue
                 if pivots is None:
-                    pivots = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                    *some, held_sketches = zip(*parts, strict=True)
+                    pivots = [*[np.concatenate(x) for x in some], pa.concat_arrays(held_sketches)]
                 for a in range(0, len(pivots[0]), SLICE):
                     for b in range(0, end - begin, SLICE):
                         left, right = _close([x[a : a + SLICE] for x in pivots], [x[b : b + SLICE] for x in rows], percent)
-                        if len(left):
-                            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["a", "b"])
+                        if len(known) > KNOWN_PAIRS:
+                            known.clear()
+                        found = set(zip(left.tolist(), right.tolist(), strict=True)) - known
+                        if found:
+                            known |= found
+                            ends = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
+                            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
     tiles = ["key", "tile_a", "tile_b"]
     ordered = held.union(others).repartition(*tiles).sortWithinPartitions(*tiles, "role")
@@ -193,7 +207,11 @@ def _close(some: list[np.ndarray], others: list[np.ndarray], percent: int) -> tu
     good = (at_a[:, None] < at_b) | ((at_a[:, None] == at_b) & (c_a[:, None] < c_b))
     good &= (label_a[:, None] != label_b) & (100 * small.astype(np.int64) >= percent * large.astype(np.int64))
     i, j = np.nonzero(good)
-    bits = np.bitwise_count(sketch_a[i] ^ sketch_b[j]).sum(axis=1)
+    if not len(i):
+        return c_a[:0], c_b[:0]
+    # Members of a key are of two neighbouring bands, so widths are alike or nearly so.
+    width = min(pc.min(pc.binary_length(x)).as_py() for x in (sketch_a, sketch_b))
+    bits = bits_apart(folded(sketch_a, width), folded(sketch_b, width), i, j)
     near = bits <= most_apart((small[i, j] + large[i, j]).astype(np.int64), percent)
     return c_a[i[near]], c_b[j[near]]
 
@@ -201,16 +219,29 @@ def _close(some: list[np.ndarray], others: list[np.ndarray], percent: int) -> tu
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets ``a, b`` whose sizes and sketches allow a link, with the ids of their classes."""
     sides = [
-        classes.select(F.col("c").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}"),
-                       *[F.col(s).alias(f"{s}_{x}") for s in _SKETCH])
-        for x in ("a", "b")
-    ]
-    apart = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in _SKETCH), F.lit(0))
-    most = F.expr(f"{100 - percent} * (n_a + n_b) div {100 + percent}")
+        classes.select(*[F.col(x).alias(f"{x}_{side}") for x in ("rep", "n", "sketch")], F.col("c").alias(side))
+        for side in ("a", "b")
+    ]
     near = pairs.join(sides[0], "a").join(sides[1], "b").where(
-        _may_link(F.col("n_a"), F.col("n_b"), percent) & (apart <= most) & (F.col("rep_a") != F.col("rep_b"))
+        _may_link(F.col("n_a"), F.col("n_b"), percent) & (F.col("rep_a") != F.col("rep_b"))
     )
-    return near.select("a", "b", "rep_a", "rep_b")
+    ends = ["a", "b", "rep_a", "rep_b"]
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = [batch.column(f"sketch_{side}") for side in ("a", "b")]
+            widths = np.minimum(*[pc.binary_length(x).to_numpy(zero_copy_only=False) for x in sketches])
+            sizes = sum(batch.column(f"n_{side}").to_numpy().astype(np.int64) for side in ("a", "b"))
+            keep = np.zeros(batch.num_rows, bool)
+            for width in np.unique(widths).tolist():
+                rows = np.flatnonzero(widths == width)
+                some = [folded(x.take(pa.array(rows)), width) for x in sketches]
+                each = np.arange(len(rows))
+                keep[rows] = bits_apart(*some, each, each) <= most_apart(sizes[rows], percent)
+            yield batch.select(ends).filter(pa.array(keep))
+
+    rows = near.select(*ends, "n_a", "n_b", "sketch_a", "sketch_b")
+    return rows.mapInArrow(close, ", ".join(f"{x} long" for x in ends))
 
 
 def _word(column: str) -> tuple[Column, Column]:
@@ -234,7 +265,7 @@ def _linked(spark: SparkSession, docs: DataFrame, near: DataFrame, words: int, p
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
             owners, hashes = shingle_sets(block.column("text"), words)
-            sizes, first, _, _ = signatures(owners, hashes, block.num_rows)
+            sizes, first, _, _ = signatures(owners, hashes, block.num_rows, percent)
             cuts = np.split(hashes, np.cumsum(sizes)[:-1])
             yield pa.RecordBatch.from_arrays(
                 [block.column("id"), pa.array(first), pa.array([x.tobytes() for x in cuts], pa.binary())],
@@ -285,7 +316,7 @@ def similar_documents(
     columns are not looked at.
 
     Sets meet under the keys of their parity sketches' blocks. In the first round, each member of a
-    key's group is compared with the first one. What links is one component, and groups within one
+    key's group is compared with one of them. What links is one component, and groups within one
     component are done. Of the others, more members are compared with all that follow them in each
     further round, tile by tile, until every pair of a group is in one component or has been compared; so no link
     between components is lost, and no group has all its pairs made unless nothing in it links.
@@ -293,13 +324,14 @@ def similar_documents(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("id").isNotNull())
-    sets = stored(spark, _sets(rows, words), "jaccard-sets")
+    sets = stored(spark, _sets(rows, words, percent), "jaccard-sets")
     classes = sets.where("n > 0").groupBy("n", "c", "c2").agg(
-        F.min("id").alias("rep"), *[F.first(name).alias(name) for name in _SKETCH]
+        F.min("id").alias("rep"), F.first("sketch").alias("sketch")
     )
     classes = stored(spark, classes, "jaccard-classes")
-    keys = stored(spark, _keys(rows, words, percent), "jaccard-keys")
-    meetings = stored(spark, _meetings(spark, keys), "jaccard-meetings")
+    sample = rows.where(spread(F.lit(13), "text") % SAMPLE == 0)
+    keys, some = _keys(rows, words, percent), _keys(sample, words, percent)
+    meetings = stored(spark, _meetings(spark, keys, some), "jaccard-meetings")
 
     # All pairs of a key's first member are made in the first round; further rounds are for the others.
     members = meetings.select("key", "c", "n")
@@ -333,15 +365,18 @@ def _open_groups(
     """Members of the groups that have pairs neither compared nor within one component, with sketches."""
     found = found.withColumnRenamed("id", "rep")
     labels = classes.join(found, "rep", "left").groupBy("c").agg(
-        F.min(F.coalesce("component", "rep")).alias("label"), *[F.first(name).alias(name) for name in _SKETCH]
+        F.min(F.coalesce("component", "rep")).alias("label"), F.first("sketch").alias("sketch")
     )
     labels = stored(spark, labels, "jaccard-labels")
     labelled = members.join(labels.select("c", "label"), "c")
     open_keys = labelled.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most")
+        F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most"),
+        F.bit_xor(F.xxhash64("c")).alias("mark_a"), F.bit_xor(F.xxhash64(F.lit(19), "c")).alias("mark_b"),
     )
-    # Stored, so that the join knows its size: it is broadcast, or lies between two exchanges and hot keys are split.
     open_keys = open_keys.where((F.col("size") > max(1, compared)) & (F.col("least") != F.col("most")))
+    # Texts that share a passage meet under very many keys; keys with the same members need one comparison.
+    open_keys = open_keys.groupBy("size", "mark_a", "mark_b").agg(F.min("key").alias("key"))
+    # Stored, so that the join knows its size: it is broadcast, or lies between two exchanges and hot keys are split.
     open_keys = stored(spark, open_keys.select("key", "size"), "jaccard-open-keys")
     return stored(spark, members.join(open_keys, "key").join(labels, "c"), "jaccard-open")
 

@@ -10,8 +10,9 @@ import pyarrow.compute as pc
 
 from wattfold.llm.common import mix64
 
-# Bits of the dense sketch that is compared before sets are.
-SKETCH_BITS = 512
+# Bits of the dense sketch that is compared before sets are, at least. A larger set has ``MARGIN`` times as
+# many as shingles may differ, rounded up to a power of two, so that unlike sets of any size differ in too many.
+SKETCH_BITS, MARGIN = 512, 8
 # Ways of dealing shingles to blocks that are tried for sets that leave too many blocks weak.
 SEEDS = 4
 
@@ -76,8 +77,10 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     return owners[new], hashes[new]
 
 
-def signatures(owners: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each of ``n`` sets: its size, two 64-bit signatures, and its sketch as eight numbers.
+def signatures(
+    owners: np.ndarray, hashes: np.ndarray, n: int, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """For each of ``n`` sets: its size, two 64-bit signatures, and its sketch as bytes.
 
     A shingle flips the bit of the sketch that its hash names, so two sketches differ in at most as
     many bits as the sets have shingles that are not common.
@@ -89,10 +92,49 @@ def signatures(owners: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarr
     if len(some):
         first[some] = np.add.reduceat(mix64(hashes ^ _STEP), heads)
         second[some] = np.bitwise_xor.reduceat(mix64(hashes + _STEP), heads)
-    bit = (hashes >> np.uint64(20)).astype(np.int64) % SKETCH_BITS
-    flips = np.bincount(owners * SKETCH_BITS + bit, minlength=n * SKETCH_BITS).reshape(n, SKETCH_BITS)
-    sketch = np.packbits((flips & 1).astype(np.uint8), axis=1).view(np.int64)
-    return sizes, first.view(np.int64), second.view(np.int64), sketch
+    widths = sketch_bits(sizes, percent)
+    ends = np.cumsum(widths)
+    bit = (hashes >> np.uint64(20)).astype(np.int64) & (widths[owners] - 1)
+    flips = np.bincount((ends - widths)[owners] + bit, minlength=int(ends[-1]) if n else 0)
+    offsets = np.concatenate([[0], ends // 8])
+    data = np.packbits((flips & 1).astype(np.uint8), bitorder="little")
+    sketch = pa.Array.from_buffers(
+        pa.large_binary(), n, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data.tobytes())]
+    )
+    return sizes, first.view(np.int64), second.view(np.int64), sketch.cast(pa.binary())
+
+
+def sketch_bits(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Bits of the sketch of sets of so many shingles, a power of two."""
+    sizes = sizes.astype(np.int64)
+    most = most_apart(sizes + sizes * 100 // percent, percent)
+    return 1 << np.ceil(np.log2(np.maximum(MARGIN * most, SKETCH_BITS))).astype(np.int64)
+
+
+def folded(sketches: pa.Array, size: int) -> np.ndarray:
+    """Sketches as rows of ``size`` bytes: a wider one's pieces of that size are XORed.
+
+    Widths are powers of two and a shingle's bit is its hash modulo the width, so a folded sketch is
+    the one that the set would have at that width.
+    """
+    out = np.zeros((len(sketches), size // 8), np.uint64)
+    sizes = pc.binary_length(sketches).to_numpy(zero_copy_only=False)
+    for width in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == width)
+        part = sketches.take(pa.array(rows))
+        data = np.frombuffer(b"".join([x.as_buffer() for x in part]), np.uint64)
+        out[rows] = np.bitwise_xor.reduce(data.reshape(len(rows), width // size, size // 8), axis=1)
+    return out
+
+
+def bits_apart(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which row ``i`` of ``a`` and row ``j`` of ``b`` differ, a few megabytes of pairs at a time."""
+    step = max(1, (1 << 19) // max(1, a.shape[1]))
+    parts = [
+        np.bitwise_count(a[i[k : k + step]] ^ b[j[k : k + step]]).sum(axis=1, dtype=np.int64)
+        for k in range(0, len(i), step)
+    ]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def most_apart(sizes: np.ndarray, percent: int) -> np.ndarray:
