@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wattfold.llm import exact_dedup, jaccard, language_id
+from wattfold.llm import exact_dedup, jaccard, language_id, mixing
 from wattfold.llm.shingles import bits_apart, folded, most_apart, signatures
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -135,3 +135,27 @@ def test_unlike_sets_of_a_hot_key_in_small_tiles(spark, monkeypatch):
     found = jaccard.similar_documents(spark, docs_of(spark, list(enumerate(texts))), 2, 85).collect()
     assert {r.doc_id: r.component_id for r in found} == dict(enumerate(label))
     assert 1 < len(set(label)) < len(label)
+
+
+@pytest.mark.parametrize("chunk_rows", [50_000, 7])
+def test_the_mix_itself_is_what_the_shares_say(spark, monkeypatch, chunk_rows):
+    monkeypatch.setattr(mixing.running_sum, "__defaults__", (chunk_rows,))
+    rnd = random.Random(9)
+    rows = []
+    for i in range(240):
+        text = None if i % 17 == 0 else " ".join(f"w{rnd.randint(0, 99)}" for _ in range(rnd.randint(0, 40)))
+        rows.append((i if i % 5 else None, text, None, ["a", "b", "c", None][i * i % 4]))
+    # A source of one text under one id, which the cut falls into.
+    rows += [(7, "six words that are all alike", None, "same")] * 60 + [(None, "no id", None, "same")] * 30
+    docs = spark.createDataFrame(rows, SCHEMA)
+    size = mixing.word_count(F.col("text"))
+    want = Counter()
+    for r in mixing.mix(spark, docs).collect():
+        want[(r.doc_id, r.source)] += r.taken
+    got, parts = Counter(), Counter()
+    whole = {(i, text) for i, text, _, _ in rows}
+    for r in mixing.mixed_documents(spark, docs).select("*", size.alias("size")).collect():
+        got[(r.doc_id, r.source)] += r["size"]
+        parts[r.source] += (r.doc_id, r.text) not in whole
+    assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if n}
+    assert all(n <= 1 for n in parts.values())

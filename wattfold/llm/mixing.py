@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattfold.llm.common import WORD, running_sum, stored
+from wattfold.llm.common import WORD, running_sum, spread, stored
 
 # Weights of the sources in order of their names, again and again.
 WEIGHTS = (5, 2, 1)
@@ -69,7 +69,7 @@ def mix(
     a source, and documents with equal ids are ordered by size. Other columns are not looked at.
     """
     rows = stored(spark, _sized(docs, id_col, text_col, source_col), "mix-rows")
-    shares = _shares(spark, rows, rows, weights, epochs)
+    shares = _shares(spark, rows, weights, epochs)
     return shares.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "taken")
 
 
@@ -78,23 +78,36 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more:
     return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size, *more)
 
 
-def _shares(
-    spark: SparkSession, sizes: DataFrame, rows: DataFrame, weights: Sequence[int], epochs: int
-) -> DataFrame:
-    """``rows`` with their sources' targets and ``taken``; ``sizes`` is the same table, stored without more."""
+def _key() -> Column:
+    return F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(SEED)))
+
+
+def _wanted(spark: SparkSession, sizes: DataFrame, weights: Sequence[int], epochs: int) -> DataFrame:
+    """A row per source: its target, the whole epochs ``whole`` and the words ``rest`` beyond them."""
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    wanted = stored(spark, targets(sources, weights, epochs), "mix-targets")
-    key = F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(SEED)))
-    # The first 31 bits of the digest, so that ranges of them are ranges of the key.
-    head = F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 1)
-    keyed = rows.withColumn("key", key).withColumn("at", head)
-    placed = running_sum(keyed, ["source"], "at", ["key", "id", "size"], F.col("size"), "before")
-    wanted = wanted.withColumnRenamed("source", "of")
+    wanted = targets(sources, weights, epochs).withColumnRenamed("source", "of")
     some = F.col("source_size") > 0
     rest = F.when(some, F.floor("target").cast("long") % F.col("source_size")).otherwise(F.lit(0))
     whole = F.when(some, F.expr("cast(floor(target) as bigint) div source_size")).otherwise(F.lit(0))
-    taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    joined = placed.join(wanted, F.col("source").eqNullSafe(F.col("of")))
+    return stored(spark, wanted.withColumn("rest", rest).withColumn("whole", whole), "mix-targets")
+
+
+def _placed(sizes: DataFrame, *ties: str) -> DataFrame:
+    """``before``: the words of the source's documents with lesser keys."""
+    # The first 31 bits of the digest, so that ranges of them are ranges of the key.
+    head = F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 1)
+    keyed = sizes.withColumn("key", _key()).withColumn("at", head)
+    return running_sum(keyed, ["source"], "at", ["key", "id", "size", *ties], F.col("size"), "before")
+
+
+def _shares(
+    spark: SparkSession, sizes: DataFrame, weights: Sequence[int], epochs: int
+) -> DataFrame:
+    """``sizes``, a stored table, with its sources' targets and ``taken``."""
+    wanted = _wanted(spark, sizes, weights, epochs)
+    once = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
+    taken = F.col("whole") * F.col("size") + once
+    joined = _placed(sizes).join(wanted, F.col("source").eqNullSafe(F.col("of")))
     return joined.withColumn("taken", taken.cast("long"))
 
 
@@ -110,15 +123,57 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each time a document is taken.
 
-    The last copy of the document at a source's cut has its first words only. Nulls and repeated ids
-    are as in ``mix``; other columns stay as they are, whatever their names.
+    Each document is taken as often, and to the same word, as in ``mix``. Only ids, sizes and a hash of
+    the text are sorted. They give one row per source: its whole epochs, and the key at which its last,
+    partial epoch is cut. With these, one pass over the documents tells how often each is taken, and
+    texts are not shuffled. The last copy of the document at a source's cut has its first words only; of
+    rows that repeat its id and text, as many are whole as the budget covers. Nulls and repeated
+    ids are as in ``mix``; other columns stay as they are, whatever their names.
     """
-    sizes = stored(spark, _sized(docs, id_col, text_col, source_col), "mix-rows")
-    whole = _sized(docs, id_col, text_col, source_col, F.struct(*docs.columns).alias("row"))
-    shares = _shares(spark, sizes, whole, weights, epochs).where(F.col("taken") > 0)
+    tie = F.xxhash64(text_col).alias("tie")
+    sizes = stored(spark, _sized(docs, id_col, text_col, source_col, tie), "mix-rows")
+    wanted = _wanted(spark, sizes, weights, epochs)
+    order = ["key", "id", "size", "tie"]
+    # The row that the budget ends in; where rows tie, the first of them says what is left for all.
+    reached = _placed(sizes, "tie").join(wanted.select("of", "rest"), F.col("source").eqNullSafe(F.col("of")))
+    reached = reached.where(F.col("before") < F.col("rest"))
+    cuts = reached.groupBy("source").agg(F.max(F.struct(*order)).alias("cut"))
+    cuts = stored(spark, cuts.withColumnRenamed("source", "cut_of"), "mix-cuts")
+    spent = _placed(sizes, "tie").join(
+        cuts, F.col("source").eqNullSafe(F.col("cut_of")) & F.struct(*order).eqNullSafe(F.col("cut"))
+    )
+    spent = spent.groupBy("source").agg(F.min("before").alias("spent")).withColumnRenamed("source", "spent_of")
+    plan = wanted.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").join(
+        spent, F.col("of").eqNullSafe(F.col("spent_of")), "left"
+    )
+    plan = stored(spark, plan.select("of", "whole", "cut", (F.col("rest") - F.col("spent")).alias("left")), "mix-plan")
+
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.struct(*docs.columns).alias("row")
+    )
+    rows = rows.withColumn("key", _key()).join(plan, F.col("source").eqNullSafe(F.col("of")))
+
+    def measured(some: DataFrame) -> DataFrame:
+        text = F.col("row")[text_col]
+        some = some.withColumn("size", word_count(text)).withColumn("tie", F.xxhash64(text))
+        return some.withColumn("place", F.struct(*order))
+
+    base = F.col("whole") * F.col("size")
+    at_cut = F.col("place").eqNullSafe(F.col("cut"))
+    once = F.when(F.col("cut").isNotNull() & (F.col("place") < F.col("cut")), F.col("size")).otherwise(F.lit(0))
+    plain = measured(rows).where(~at_cut).select("row", "size", (base + once).alias("taken"))
+    # Rows at a cut, one per source unless rows repeat; a number drawn for each before they are stored orders those.
+    tied = measured(rows.where(F.col("key").eqNullSafe(F.col("cut.key")))).where(at_cut).select(
+        "row", "source", "size", "whole", "left", F.monotonically_increasing_id().alias("no")
+    )
+    tied = stored(spark, tied.withColumn("at", spread("no")), "mix-tied")
+    tied = running_sum(tied, ["source"], "at", ["no"], F.col("size"), "before")
+    some = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("before")))
+    shares = plain.union(tied.select("row", "size", (base + some).alias("taken"))).where(F.col("taken") > 0)
+
     copies = F.expr("sequence(1, cast((taken + size - 1) div size as int))")
-    rows = shares.select("row", "size", "taken", F.explode(copies).alias("copy"))
-    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
+    shares = shares.select("row", "size", "taken", F.explode(copies).alias("copy"))
+    rest = F.col("taken") - (F.col("copy") - 1) * F.col("size")
     text = F.col("row")[text_col]
-    cut = F.when(left < F.col("size"), first_words(text, left)).otherwise(text)
-    return rows.select(*[cut.alias(name) if name == text_col else F.col("row")[name].alias(name) for name in docs.columns])
+    cut = F.when(rest < F.col("size"), first_words(text, rest)).otherwise(text)
+    return shares.select(*[cut.alias(name) if name == text_col else F.col("row")[name].alias(name) for name in docs.columns])
