@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattfold.llm.common import running_sum, spread, stored, text_blocks
-from wattfold.llm.tokenization import encoder
+from wattfold.llm.tokenization import ENCODED_BYTES, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -35,8 +35,8 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = encoder(tokenizer)
-        for block in text_blocks(batches, "text"):
-            ids, at = turn.encode(block.column("text").to_pylist(), END_ID)
+        for block in text_blocks(batches, "text", ENCODED_BYTES):
+            ids, at = turn.encode(block.column("text"), END_ID)
             sizes = np.diff(at)
             pieces = -(-sizes // capacity)
             row = np.repeat(np.arange(len(sizes)), pieces)

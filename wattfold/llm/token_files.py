@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattfold.llm.common import stored, text_blocks
-from wattfold.llm.tokenization import encoder
+from wattfold.llm.tokenization import ENCODED_BYTES, encoder
 
 BLOCK = 128
 # The share of a block's ids that its width has room for.
@@ -199,8 +199,8 @@ def write_token_files(
             data = encode_record(shard, place, doc_ids, np.concatenate(counts), np.concatenate(ids))
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
 
-        for block in text_blocks(batches, "text"):
-            found, at = turn.encode(block.column("text").to_pylist(), END_ID)
+        for block in text_blocks(batches, "text", ENCODED_BYTES):
+            found, at = turn.encode(block.column("text"), END_ID)
             doc_ids += block.column("id").to_pylist()
             counts.append(np.diff(at))
             ids.append(found)

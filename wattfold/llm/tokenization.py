@@ -9,9 +9,10 @@ The cuts hold whatever Unicode tables a regular expression has:
   alone. Texts with any other white space are cut at single spaces only.
 * BPE with word ends drops white space, so every run of ASCII blanks is such a place.
 
-A part of letters and closing marks is cut once more between the two. Words of letters are encoded
-many at a time, in one text; the marks that word starts or word ends carry in the vocabulary tell
-whose ids are whose.
+A part of letters and ASCII marks after them is cut once more between the two. Words of letters are
+encoded many at a time, in one text; the marks that word starts or word ends carry in the vocabulary
+tell whose ids are whose. Arrow cuts texts and finds the different parts of a block, so Python looks
+up each of those once.
 """
 
 from __future__ import annotations
@@ -22,20 +23,33 @@ from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Parts whose ids a worker keeps, each about 150 bytes; beyond that it forgets those met only once.
 CACHED_PARTS = 700_000
 # Parts that it keeps between tasks, when other work needs the memory.
-KEPT_PARTS = 200_000
+KEPT_PARTS = 350_000
+
+# Bytes of text that are cut into parts at once.
+ENCODED_BYTES = 1 << 20
 
-# White space other than space and line feed; two blanks in a row.
-_OTHER = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_RUN = re.compile(r"[ \n][ \n]")
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
-_NOT_ASCII_BLANK = re.compile(r"[^\S \t\n\r]")
 _BLANKS = re.compile(r"[^ \t\n\r]+")
-_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 _BLOCK = 512
+# Patterns of Arrow's kernels. Texts that cannot be cut at every single blank: white space other than space and
+# line feed (or the mark that cuts are made with), a blank at either end, two blanks in a row.
+_OTHER = (
+    r"[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"|\A[ \n]|[ \n]\z|[ \n][ \n]"
+)
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_CUT = rf"\A(?P<word> ?{_LETTERS})(?P<marks>[!-/:-@\[-`{{-~]+)\z"
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    """``to_pylist`` without a scalar object for each; the array must have no nulls."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
 class _Known(dict):
@@ -90,7 +104,7 @@ class Encoder:
         self._forget()
         self.known.update(zip(parts, range(len(parts)), strict=True))
         self._make_room()
-        self._store(parts, ids, sizes)
+        self._store(np.arange(len(parts)), ids, sizes)
 
     def _make_room(self) -> None:
         """A place for every part that has a number."""
@@ -99,91 +113,110 @@ class Encoder:
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
 
-    def parts(self, text: str) -> list[str]:
+    def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All parts of all texts in a row, and how many each text has."""
+        texts = pc.fill_null(texts, "")
+        if self.word_ends:
+            odd = pc.or_(pc.match_substring(texts, "\x0b"), pc.match_substring(texts, "\x0c"))
+        else:
+            odd = pc.match_substring_regex(texts, _OTHER)
+        odd = odd.to_numpy(zero_copy_only=False)
+        some = texts.filter(pa.array(~odd)) if odd.any() else texts
         if self.word_ends:
-            return _BLANKS.findall(text) if _NOT_ASCII_BLANK.search(text) else text.split()
-        if not text:
-            return []
-        if text[0] in " \n" or text[-1] in " \n" or _RUN.search(text) or _OTHER.search(text):
-            first, *rest = _SPACE.split(text)
-            return [first, *[" " + part for part in rest]]
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-    def _store(self, parts: Sequence[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Keep the ids of parts that have a number."""
+            lists = pc.ascii_split_whitespace(some)
+        else:
+            marked = pc.replace_substring(pc.replace_substring(some, " ", "\0 "), "\n", "\0\n\0")
+            lists = pc.split_pattern(marked, "\0")
+        if odd.any():
+            rest = [self._odd_parts(text) for text in texts.filter(pa.array(odd)).to_pylist()]
+            order = np.empty(len(texts), np.int64)
+            order[np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])] = np.arange(len(texts))
+            lists = pa.concat_arrays([lists, pa.array(rest, lists.type)]).take(pa.array(order))
+        return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def _odd_parts(self, text: str) -> list[str]:
+        if self.word_ends:
+            return _BLANKS.findall(text)
+        first, *rest = _SPACE.split(text)
+        return [first, *[" " + part for part in rest]]
+
+    def _store(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep the ids of the parts of these numbers."""
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        numbers = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
         self.ids[self.used : self.used + len(ids)] = ids
         self.sizes[numbers] = sizes
         self.starts[numbers] = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
 
-    def _learn_any(self, parts: list[str]) -> None:
+    def _learn_any(self, parts: list[str], numbers: np.ndarray) -> None:
         for start in range(0, len(parts), _BLOCK):
             block = parts[start : start + _BLOCK]
             found = [x.ids for x in self.tokenizer.encode_batch_fast(block, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self._store(block, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+            self._store(numbers[start : start + _BLOCK], ids, sizes)
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn_words(self, words: list[str], numbers: np.ndarray) -> None:
         """Words of letters; under byte-level BPE each begins with a space."""
         for start in range(0, len(words), _BLOCK):
             block = words[start : start + _BLOCK]
             joined = (" " if self.word_ends else "").join(block)
-            ids = np.asarray(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
             marks = np.flatnonzero(self.marked[ids])
             if len(marks) != len(block):
-                self._learn_any(block)
+                self._learn_any(block, numbers[start : start + _BLOCK])
                 continue
             bounds = np.concatenate([[0], marks + 1]) if self.word_ends else np.concatenate([marks, [len(ids)]])
-            self._store(block, ids, np.diff(bounds))
+            self._store(numbers[start : start + _BLOCK], ids, np.diff(bounds))
+
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
 
     def _learn(self) -> None:
-        """Encode the parts that wait."""
+        """Encode the parts that wait; their numbers follow each other."""
         known = self.known
-        waiting, known.waiting = known.waiting, []
-        words, rest, cut = [], [], []
-        for part in waiting:
-            match = _WORD.fullmatch(part)
-            if not match:
-                rest.append(part)
-            elif match[2]:
-                cut.append((part, match[1], match[2]))
-            else:
-                words.append(part)
-        pairs = np.array([(known[word], known[marks]) for _, word, marks in cut], np.int64).ravel()
-        for part in known.waiting:  # words and marks met only together so far
-            (words if _WORD.fullmatch(part) else rest).append(part)
-        known.waiting = []
+        waiting, known.waiting = pa.array(known.waiting, pa.string()), []
+        numbers = np.arange(len(known) - len(waiting), len(known))
+        halves = pc.extract_regex(waiting, _CUT)
+        cut = halves.is_valid()
+        halves, cut_numbers = halves.filter(cut), numbers[cut.to_numpy(zero_copy_only=False)]
+        pairs = np.stack([self._numbers(_strings(halves.field(i))) for i in (0, 1)], axis=1).ravel()
+        # Words and marks met only together so far.
+        more, known.waiting = pa.array(known.waiting, pa.string()), []
+        parts = pa.concat_arrays([waiting.filter(pc.invert(cut)), more])
+        whole = numbers[~cut.to_numpy(zero_copy_only=False)]
+        numbers = np.concatenate([whole, np.arange(len(known) - len(more), len(known))])
         self._make_room()
-        spaced = [word for word in words if self.word_ends or word[0] == " "]
-        self._learn_words(spaced)
-        self._learn_any(rest if self.word_ends else rest + [word for word in words if word[0] != " "])
+        words = pc.match_substring_regex(parts, rf"\A{'' if self.word_ends else ' '}{_LETTERS}\z")
+        mask = words.to_numpy(zero_copy_only=False)
+        self._learn_words(_strings(parts.filter(words)), numbers[mask])
+        self._learn_any(_strings(parts.filter(pc.invert(words))), numbers[~mask])
         ids, sizes = self._gather(pairs)
-        self._store([part for part, _, _ in cut], ids, sizes.reshape(-1, 2).sum(axis=1))
+        self._store(cut_numbers, ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.sizes[numbers]
         shift = self.starts[numbers] - (np.cumsum(sizes) - sizes)
         return self.ids[np.arange(int(sizes.sum())) + np.repeat(shift, sizes)], sizes
 
-    def encode(self, texts: Sequence[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | Sequence[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids begin (one more than there are texts).
 
         A null text has the ids of an empty one; ``end_id`` follows each text's ids.
         """
-        cuts = [self.parts(text) if text else [] for text in texts]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
         if len(self.known) > CACHED_PARTS:
             self.trim(CACHED_PARTS // 2)
-        counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        number = self.known.__getitem__
-        numbers = np.fromiter(map(number, chain.from_iterable(cuts)), np.int64, int(counts.sum()))
+        flat, counts = self.parts(texts)
+        flat = flat.dictionary_encode()
+        different = self._numbers(_strings(flat.dictionary))
         if self.known.waiting:
             self._learn()
-        seen = np.bincount(numbers)
-        self.met[: len(seen)] += seen
-        flat, sizes = self._gather(numbers)
+        places = flat.indices.to_numpy(zero_copy_only=False)
+        self.met[different] += np.bincount(places, minlength=len(different))
+        flat, sizes = self._gather(different[places])
         at = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
         if end_id is not None:
             flat = np.insert(flat, at[1:], end_id)
