@@ -159,3 +159,16 @@ def test_the_mix_itself_is_what_the_shares_say(spark, monkeypatch, chunk_rows):
         parts[r.source] += (r.doc_id, r.text) not in whole
     assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if n}
     assert all(n <= 1 for n in parts.values())
+
+
+def test_a_round_pairs_each_member_with_few_as_what_it_links_is_left_to_no_other(spark):
+    n, sketch = 300, bytes(64)
+    members = spark.createDataFrame(
+        [(1, i, 40, i, n, sketch) for i in range(n)], "key long, c long, n long, label long, size long, sketch binary"
+    )
+    assert n - 1 <= jaccard._later_pairs(members, 0, jaccard.next_place(0), 80).count() <= 12 * n
+    # Rounds adjoin and grow, so that a group that links nowhere is done after a few of them.
+    places = [0]
+    while places[-1] < 100_000:
+        places.append(jaccard.next_place(places[-1]))
+    assert all(a < b for a, b in zip(places, places[1:])) and len(places) < 12

@@ -20,13 +20,13 @@ WORDS, PERCENT = 5, 80
 # 64-bit words of the filter that says whose sets are read for a comparison, at most.
 FILTER_WORDS = 1 << 18
 # Members of a set of equal keys that are compared with all others: first one, then in each round
-# so many times as many as in all before.
-GROWTH = 64
+# so many times as many as in all before. Few, as what a round links need not be paired by the next.
+GROWTH = 4
 # Sets of a key, in expectation, that one task compares with as many others; and how many of either it
 # lays out at a time.
 TILE, SLICE = 2_048, 512
 # Pairs that a task remembers, so as not to give one again for each key that both sets have.
-KNOWN_PAIRS = 1 << 19
+KNOWN_PAIRS = 1 << 17
 # Rows of a key from which its first round is not one task's. A sample of one set in ``SAMPLE`` tells
 # such keys; either way gives the same meetings.
 HOT, SAMPLE = 100_000, 32
@@ -303,6 +303,11 @@ def _linked(spark: SparkSession, docs: DataFrame, near: DataFrame, words: int, p
     return routed.select("a", "fan", "role", "id", "shingles").mapInArrow(compared, "a long, b long")
 
 
+def next_place(compared: int) -> int:
+    """Up to which place members have been compared with all others after the next round."""
+    return max(1, compared) * (GROWTH + 1) - (not compared)
+
+
 def similar_documents(
     spark: SparkSession, docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
     text_col: str = "text",
@@ -347,7 +352,7 @@ def similar_documents(
         left = _open_groups(spark, members, classes, found, compared)
         if left.isEmpty():
             break
-        last = max(1, compared) * (GROWTH + 1) - (not compared)
+        last = next_place(compared)
         pairs, compared = _later_pairs(left, compared, last, percent), last
     found = found.withColumnRenamed("id", "rep")
     named = classes.select("n", "c", "c2", "rep").join(found, "rep", "left")
