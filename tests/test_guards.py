@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from wattfold import settings
 from wattfold.functions import tariff
 from wattfold.operators import dimensions
 from wattfold.plans import jobs
@@ -75,3 +76,24 @@ def test_only_finite_measures_are_valid(spark):
     lines = [f"1,{measure},2024-01-01 00:00:00" for measure in ("2.5", "NaN", "Infinity", "-Infinity")]
     messages = spark.createDataFrame([(line,) for line in lines], "value string")
     assert [row.valid for row in ingest.parse_messages(messages).collect()] == [True, False, False, False]
+
+
+def test_a_bounded_session_has_small_tasks_and_leaves_the_other_alone(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name), spark.conf.get("spark.sql.shuffle.partitions")
+    large = settings.bounded_session(spark, 1_000_000_000)
+    assert int(large.conf.get(name)) <= settings.TASK_BYTES
+    assert int(large.conf.get("spark.sql.shuffle.partitions")) == 1_000_000_000 // settings.TASK_ROWS
+    assert (spark.conf.get(name), spark.conf.get("spark.sql.shuffle.partitions")) == before
+    assert settings.bounded_session(spark, 10).conf.get("spark.sql.shuffle.partitions") == before[1]
+
+
+def test_queries_over_consumption_run_in_a_bounded_session(spark):
+    for name in ("view_daily_consumption_by_time_of_day", "fact_revenue", "check_pk_duplicates"):
+        session = QUERIES[name](spark, "/root/testdata/sf0.001").sparkSession
+        assert int(session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 8 << 20
+
+
+@pytest.mark.parametrize(("size", "want"), [("67108864b", 1 << 26), ("64MB", 1 << 26), ("8m", 1 << 23), ("100", 100), ("2g", 1 << 31)])
+def test_sizes_are_read_with_any_unit(size, want):
+    assert settings.byte_count(size) == want

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,10 +37,21 @@ def query(build: Callable[[Testbed], DataFrame]) -> Callable[[Testbed], DataFram
     return build
 
 
+def bounded_query(build: Callable[[Testbed], DataFrame]) -> Callable[[Testbed], DataFrame]:
+    """Register a query over the daily consumption, whose tasks each sum, join and sum again."""
+
+    @functools.wraps(build)
+    def bounded(bed: Testbed) -> DataFrame:
+        return build(bed.bounded())
+
+    query(bounded)
+    return build
+
+
 # Readings and the consumption fact.
 
 
-@query
+@bounded_query
 def fact_power_consumption(bed: Testbed) -> DataFrame:
     return as_double(bed.consumption(), "consumption")
 
@@ -85,7 +97,7 @@ def month_key(bed: Testbed) -> DataFrame:
     return bed.table("orders").select("o_orderkey", keys.month_id(F.year(day), F.month(day)).alias("date_id"))
 
 
-@query
+@bounded_query
 def segment_month_filter(bed: Testbed) -> DataFrame:
     rows = revenue.segment_month_filter(
         bed.consumption(), bed.dim_date(), bed.customers(), segments.COMMERCIAL, 2024, 1
@@ -96,36 +108,36 @@ def segment_month_filter(bed: Testbed) -> DataFrame:
 # Roll-ups of consumption.
 
 
-@query
+@bounded_query
 def view_daily_total_consumption(bed: Testbed) -> DataFrame:
     return as_double(rollups.daily_total_consumption(bed.consumption(), bed.dim_date()), "consumption")
 
 
-@query
+@bounded_query
 def view_daily_consumption_by_customer(bed: Testbed) -> DataFrame:
     rows = rollups.daily_consumption_by_customer(bed.consumption(), bed.dim_date(), bed.customers())
     return as_double(rows, "consumption")
 
 
-@query
+@bounded_query
 def view_daily_consumption_by_customer_type(bed: Testbed) -> DataFrame:
     rows = rollups.daily_consumption_by_customer_type(bed.consumption(), bed.dim_date(), bed.customers())
     return as_double(rows, "consumption")
 
 
-@query
+@bounded_query
 def view_daily_consumption_by_location(bed: Testbed) -> DataFrame:
     rows = rollups.daily_consumption_by_location(bed.consumption(), bed.dim_date(), bed.meters())
     return as_double(rows, "consumption")
 
 
-@query
+@bounded_query
 def view_daily_consumption_by_meter(bed: Testbed) -> DataFrame:
     rows = rollups.daily_consumption_by_meter(bed.consumption(), bed.dim_date(), bed.customers(), bed.meters())
     return as_double(rows, "consumption")
 
 
-@query
+@bounded_query
 def view_daily_consumption_by_time_of_day(bed: Testbed) -> DataFrame:
     rows = rollups.daily_consumption_by_time_of_day(
         bed.consumption(), bed.dim_date(), bed.customers(), bed.meters()
@@ -141,17 +153,17 @@ def _monthly(bed: Testbed, segment: str) -> DataFrame:
     return revenue.monthly_consumption(bed.consumption(), bed.dim_date(), bed.customers(), segment, meters)
 
 
-@query
+@bounded_query
 def monthly_consumption_residential(bed: Testbed) -> DataFrame:
     return as_double(_monthly(bed, segments.RESIDENTIAL), "consumption")
 
 
-@query
+@bounded_query
 def monthly_consumption_commercial(bed: Testbed) -> DataFrame:
     return as_double(_monthly(bed, segments.COMMERCIAL), "consumption")
 
 
-@query
+@bounded_query
 def monthly_consumption_industrial(bed: Testbed) -> DataFrame:
     return as_double(_monthly(bed, segments.INDUSTRIAL), "consumption")
 
@@ -161,23 +173,23 @@ def _residential(bed: Testbed, by_parts: bool = False) -> DataFrame:
     return revenue.residential_revenue(monthly, seeds.residential_prices(bed.spark), by_parts)
 
 
-@query
+@bounded_query
 def revenue_residential(bed: Testbed) -> DataFrame:
     return as_double(_residential(bed), "revenue")
 
 
-@query
+@bounded_query
 def revenue_residential_slab(bed: Testbed) -> DataFrame:
     return as_double(_residential(bed, by_parts=True), "revenue")
 
 
-@query
+@bounded_query
 def revenue_commercial(bed: Testbed) -> DataFrame:
     prices = seeds.commercial_prices(bed.spark)
     return as_double(revenue.time_of_use_revenue(_monthly(bed, segments.COMMERCIAL), prices), "revenue")
 
 
-@query
+@bounded_query
 def revenue_industrial(bed: Testbed) -> DataFrame:
     prices = seeds.industrial_prices(bed.spark)
     return as_double(revenue.time_of_use_revenue(_monthly(bed, segments.INDUSTRIAL), prices), "revenue")
@@ -194,29 +206,29 @@ def _revenue(bed: Testbed) -> DataFrame:
     )
 
 
-@query
+@bounded_query
 def fact_revenue(bed: Testbed) -> DataFrame:
     return as_double(_revenue(bed).select(*schemas.REVENUE_FACT), "revenue")
 
 
-@query
+@bounded_query
 def view_monthly_total_revenue(bed: Testbed) -> DataFrame:
     return as_double(rollups.monthly_total_revenue(_revenue(bed), bed.dim_date()), "revenue")
 
 
-@query
+@bounded_query
 def view_monthly_revenue_by_customer(bed: Testbed) -> DataFrame:
     rows = rollups.monthly_revenue_by_customer(_revenue(bed), bed.dim_date(), bed.customers())
     return as_double(rows, "revenue")
 
 
-@query
+@bounded_query
 def view_monthly_revenue_by_customer_type(bed: Testbed) -> DataFrame:
     rows = rollups.monthly_revenue_by_customer_type(_revenue(bed), bed.dim_date(), bed.customers())
     return as_double(rows, "revenue")
 
 
-@query
+@bounded_query
 def preview_revenue_top20(bed: Testbed) -> DataFrame:
     return as_double(revenue.preview(_residential(bed)), "revenue")
 
@@ -285,7 +297,7 @@ def contract_from_customer(bed: Testbed) -> DataFrame:
 # Checks and enrichment.
 
 
-@query
+@bounded_query
 def check_pk_duplicates(bed: Testbed) -> DataFrame:
     return checks.duplicate_keys(bed.consumption(), ["date_id", *schemas.BRIDGE_COLUMNS])
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattfold.functions import segments
 from wattfold.functions.payload import encode_reading
-from wattfold.settings import scratch_dir
+from wattfold.settings import bounded_session, scratch_dir
 from wattfold.operators import calendar as calendar_ops
 from wattfold.operators import consumption, places
 from wattfold.sources import files
@@ -47,6 +47,11 @@ class Testbed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def bounded(self) -> Testbed:
+        """These tables in a session whose tasks have a bound, however many readings there are."""
+        rows = self.table("events").count() + self.table("lineitem").count()
+        return Testbed(bounded_session(self.spark, rows), self.folder)
+
     def table(self, name: str) -> DataFrame:
         return files.read_table(self.spark, self.folder, name, SCHEMAS[name])
 
