@@ -304,3 +304,13 @@ def test_words_through_a_byte_are_added_up():
 @pytest.mark.parametrize("name", ["op11_structure_repair", "op12_spelling_variants"])
 def test_new_queries_agree_with_their_sql(spark, small, name):
     assert compare_oracle.difference(spark, compare_oracle.duck(small), small, name) is None
+
+
+def test_kinds_are_learned_from_all_training_texts(spark):
+    rows = [(at, f"w{i} x{i}", False) for at, i in enumerate(i for i in range(10) for _ in range(500 + 3 * i))]
+    rows += [(-1 - i, "unseen", True) for i in range(1000)]
+    kinds = context_mixing.learn_kinds(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean"))
+    assert [*kinds.place] == [f"{x}{i}".encode() for i in reversed(range(10)) for x in "wx"]
+    assert kinds.speaks.shape[0] == 20 and abs(np.exp(kinds.shares).sum() - 1) < 0.01
+    again = context_mixing.learn_kinds(spark.createDataFrame(rows[::-1], "doc_id long, text string, held_out boolean"))
+    assert kinds.place == again.place and np.array_equal(kinds.speaks, again.speaks)
