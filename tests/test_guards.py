@@ -94,6 +94,18 @@ def test_queries_over_consumption_run_in_a_bounded_session(spark):
         assert int(session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 8 << 20
 
 
+def test_a_bounded_session_reads_small_parts_of_files(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    assert settings.byte_count(settings.bounded_session(spark, 10).conf.get(name)) <= 32 << 20
+    assert spark.conf.get(name) == before
+    spark.conf.set(name, "4m")
+    try:
+        assert settings.byte_count(settings.bounded_session(spark, 10).conf.get(name)) == 4 << 20
+    finally:
+        spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize(("size", "want"), [("67108864b", 1 << 26), ("64MB", 1 << 26), ("8m", 1 << 23), ("100", 100), ("2g", 1 << 31)])
 def test_sizes_are_read_with_any_unit(size, want):
     assert settings.byte_count(size) == want
