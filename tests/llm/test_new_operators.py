@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import compare_oracle
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wattfold.llm import context_mixing, spelling, turn_repair
@@ -314,3 +315,32 @@ def test_kinds_are_learned_from_all_training_texts(spark):
     assert kinds.speaks.shape[0] == 20 and abs(np.exp(kinds.shares).sum() - 1) < 0.01
     again = context_mixing.learn_kinds(spark.createDataFrame(rows[::-1], "doc_id long, text string, held_out boolean"))
     assert kinds.place == again.place and np.array_equal(kinds.speaks, again.speaks)
+
+
+def test_words_are_cut_for_many_texts_at_once(monkeypatch):
+    found = ["A b\x0b\x1cÉ\x0cc ", None, "", " \t", "dd", "dd a"]
+    words = context_mixing.words_of(pa.array(["x y", *found]).slice(1))
+    want = [(text or "").lower().replace("é", "É").encode().split() for text in found]
+    assert words.found.to_pylist() == [word for text in want for word in text]
+    assert words.counts.tolist() == [len(text) for text in want] and words.text.tolist() == [0, 0, 0, 0, 4, 5, 5]
+    assert words.sizes.tolist() == [sum(map(len, text)) for text in want]
+    # However batches are put together and cut, a text's kind is the same.
+    kinds = context_mixing.Kinds({b"a": 0, b"dd": 1}, np.array([[-0.1, -3.0], [-2.0, -0.2]]), np.log([0.6, 0.4]))
+    assert kinds.of(words).tolist() == [0, 0, 0, 0, 1, 0]
+    batch = pa.RecordBatch.from_arrays([pa.array(found)], ["text"])
+    monkeypatch.setattr(context_mixing, "COUNTED", 8)
+    blocks = list(context_mixing._blocks(iter([batch.slice(0, 2), batch.slice(2)])))
+    assert [text for block in blocks for text in block.column("text").to_pylist()] == found
+    assert [kind for block in blocks for kind in kinds.of(context_mixing.words_of(block.column("text")))] == [0, 0, 0, 0, 1, 0]
+
+
+def test_log_odds_of_slots_give_the_same_probabilities():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 40, context_mixing._SLOTS).astype(np.uint32) << 16 | rng.integers(0, 40, context_mixing._SLOTS).astype(np.uint32)
+    counts[::3] = 0
+    model = context_mixing._untrained(counts)
+    trie = context_mixing.lay_out([b"abc", b"abd", b"b", context_mixing.END, "été".encode()], [0, 1, 0, 1, 0])
+    for _, bits, partial, slots in context_mixing._steps(trie, np.arange(len(trie.letters))):
+        odds = context_mixing._slot_odds(counts)
+        plain = context_mixing.bit_probabilities(model, slots, bits, partial)
+        assert np.array_equal(context_mixing.bit_probabilities(model, slots, bits, partial, odds), plain)
