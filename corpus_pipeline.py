@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattfold.llm import exact_dedup, jaccard, language_id, mixing, packing
-from wattfold.llm.common import stored
+from wattfold.llm.common import limit_batches, stored
 
 TOKENIZER = "word_bpe_49k.json"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the labelled documents and refuse those without a language."""
+    limit_batches(spark)  # for good, as it is the caller who reads the documents that are returned
     model = language_id.fit(spark, docs)
     found = docs.withColumn("__found", language_id.identify(spark, model, F.col("text")))
     return found.where(language_id.accepted(F.col("__found"))).drop("__found")

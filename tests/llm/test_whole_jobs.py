@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wattfold.llm import exact_dedup, jaccard, language_id, mixing
+from wattfold.llm import common, exact_dedup, jaccard, language_id, mixing, packing, tokenization
 from wattfold.llm.shingles import bits_apart, folded, most_apart, signatures
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -172,3 +174,60 @@ def test_a_round_pairs_each_member_with_few_as_what_it_links_is_left_to_no_other
     while places[-1] < 100_000:
         places.append(jaccard.next_place(places[-1]))
     assert all(a < b for a, b in zip(places, places[1:])) and len(places) < 12
+
+
+LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_whole_texts_go_to_workers_by_the_megabyte(spark):
+    """The largest batch follows its bytes, not its rows, while an operator works; the session keeps its limit."""
+    docs = spark.range(3_000, numPartitions=1).select("id", F.repeat(F.lit("w "), 2_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    @common.small_batches
+    def work(spark):
+        return common.stored(spark, docs.mapInArrow(sizes, "n long, bytes long"), "test-batches")
+
+    before = spark.conf.get(LIMIT)
+    n, most = work(spark).agg(F.sum("n"), F.max("bytes")).first()
+    assert n == 3_000 and most <= 1.5 * common.BATCH_BYTES
+    assert spark.conf.get(LIMIT) == before
+    try:
+        spark.conf.set(LIMIT, 1_000)
+        assert work(spark).agg(F.max("bytes")).first()[0] < 20_000
+        assert spark.conf.get(LIMIT) == "1000"
+    finally:
+        spark.conf.set(LIMIT, before)
+
+
+def test_stages_that_hold_texts_limit_their_batches(spark, monkeypatch):
+    seen = {}
+    for module in (jaccard, packing):
+        def kept(session, frame, label, put=module.stored):
+            seen.setdefault(label, set()).add(spark.conf.get(LIMIT))
+            return put(session, frame, label)
+
+        monkeypatch.setattr(module, "stored", kept)
+    docs = docs_of(spark, [(i, f"a b c d e f g h {i % 3}", "en") for i in range(9)])
+    before = spark.conf.get(LIMIT)
+    try:
+        jaccard.one_of_each(spark, docs).collect()
+        packing.pack_documents(spark, docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+        assert {"jaccard-sets", "jaccard-meetings", "pack-pieces"} <= set(seen)
+        assert set().union(*seen.values()) == {str(common.BATCH_BYTES)}
+        assert spark.conf.get(LIMIT) == before
+        corpus_pipeline.identify_language(spark, docs, "")
+        assert spark.conf.get(LIMIT) == str(common.BATCH_BYTES)
+    finally:
+        spark.conf.set(LIMIT, before)
+
+
+def test_what_a_worker_keeps_can_be_dropped_and_made_again():
+    file = public_tokenizers.path("word_bpe_49k.json")
+    ids = tokenization.encoder(file).encode(["a few words"])[0].tolist()
+    common.drop_kept()
+    assert not tokenization._ENCODERS
+    assert tokenization.encoder(file).encode(["a few words"])[0].tolist() == ids

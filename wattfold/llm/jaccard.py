@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm.common import spread, stored, text_blocks
+from wattfold.llm.common import drop_kept, small_batches, spread, stored, text_blocks
 from wattfold.llm.components import components
 from wattfold.llm.shingles import bits_apart, block_keys, folded, most_apart, shingle_sets, signatures
 
@@ -36,6 +36,8 @@ FAN = 100_000
 
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sorts of keys need an executor's memory; a tokenizer with its words is 130 MB in each of its workers.
+        drop_kept()
         for block in text_blocks(batches, "text"):
             owners, hashes = shingle_sets(block.column("text"), words)
             sizes, first, second, sketch = signatures(owners, hashes, block.num_rows, percent)
@@ -308,6 +310,7 @@ def next_place(compared: int) -> int:
     return max(1, compared) * (GROWTH + 1) - (not compared)
 
 
+@small_batches
 def similar_documents(
     spark: SparkSession, docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
     text_col: str = "text",

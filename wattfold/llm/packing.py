@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm.common import running_sum, spread, stored, text_blocks
+from wattfold.llm.common import running_sum, small_batches, spread, stored, text_blocks
 from wattfold.llm.tokenization import ENCODED_BYTES, encoder
 
 CAPACITY = 2048
@@ -246,6 +246,7 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY) -> Da
     )
 
 
+@small_batches
 def pack_documents(
     spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id",
     text_col: str = "text",

@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from wattfold.llm.common import KEPT
+
 # Parts whose ids a worker keeps, each about 150 bytes; beyond that it forgets those met only once.
 CACHED_PARTS = 700_000
 # Parts that it keeps between tasks, when other work needs the memory.
@@ -225,10 +227,11 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+KEPT.append(_ENCODERS)
 
 
 def encoder(file: str) -> Encoder:
-    """The worker's encoder for a file; it lives as long as the worker does."""
+    """The worker's encoder for a file; it stays in the worker until work that needs the memory drops it."""
     if file not in _ENCODERS:
         _ENCODERS[file] = Encoder(file)
     return _ENCODERS[file]
