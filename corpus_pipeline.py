@@ -12,6 +12,9 @@ from wattfold.llm import exact_dedup, jaccard, language_id, mixing, packing
 from wattfold.llm.common import limit_batches, stored
 
 TOKENIZER = "word_bpe_49k.json"
+# Bytes of text that a worker encodes at once, and words whose ids it keeps: few, as an executor's heap has grown over the
+# stages before and its workers share what is left.
+ENCODE_BYTES, ENCODE_PARTS = 1 << 18, 150_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in sequences of 2048 tokens."""
-    return packing.pack_documents(spark, docs, public_tokenizers.path(TOKENIZER))
+    file = public_tokenizers.path(TOKENIZER)
+    return packing.pack_documents(spark, docs, file, block_bytes=ENCODE_BYTES, cached_parts=ENCODE_PARTS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -231,3 +231,11 @@ def test_what_a_worker_keeps_can_be_dropped_and_made_again():
     common.drop_kept()
     assert not tokenization._ENCODERS
     assert tokenization.encoder(file).encode(["a few words"])[0].tolist() == ids
+
+
+def test_an_encoder_that_keeps_few_words_gives_the_same_ids(spark):
+    file = public_tokenizers.path("word_bpe_49k.json")
+    docs = docs_of(spark, [(i, f"word{i} word{i % 7} and the rest {i * 31}") for i in range(200)])
+    plain = packing.token_pieces(docs, file)
+    lean = packing.token_pieces(docs, file, block_bytes=1_000, cached_parts=40)
+    assert sorted(map(tuple, lean.collect())) == sorted(map(tuple, plain.collect()))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattfold.llm.common import running_sum, small_batches, spread, stored, text_blocks
-from wattfold.llm.tokenization import ENCODED_BYTES, encoder
+from wattfold.llm.tokenization import CACHED_PARTS, ENCODED_BYTES, KEPT_PARTS, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -25,17 +25,20 @@ PIECES = "id long, piece int, start long, length long, ids binary"
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
+    block_bytes: int = ENCODED_BYTES, cached_parts: int = CACHED_PARTS,
+) -> DataFrame:
     """``id, piece, start, length, ids``: each document's token ids in pieces of at most ``capacity``.
 
     A document's ids are those of its whole text, then the end id; ``ids`` holds them as
     little-endian unsigned 32-bit integers. A null text counts as empty and has the end id alone.
+    ``block_bytes`` of text are encoded at once and the ids of ``cached_parts`` words kept, at most;
+    the less, the smaller a worker, and the more time it takes.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = encoder(tokenizer)
-        for block in text_blocks(batches, "text", ENCODED_BYTES):
+        turn = encoder(tokenizer, cached_parts)
+        for block in text_blocks(batches, "text", block_bytes):
             ids, at = turn.encode(block.column("text"), END_ID)
             sizes = np.diff(at)
             pieces = -(-sizes // capacity)
@@ -54,7 +57,9 @@ def token_pieces(
                  pa.array(length, pa.int64()), values],
                 ["id", "piece", "start", "length", "ids"],
             )
-        turn.trim()
+            if block_bytes < ENCODED_BYTES:
+                pa.default_memory_pool().release_unused()
+        turn.trim(min(KEPT_PARTS, cached_parts // 2))
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
 
@@ -249,13 +254,13 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY) -> Da
 @small_batches
 def pack_documents(
     spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id",
-    text_col: str = "text",
+    text_col: str = "text", block_bytes: int = ENCODED_BYTES, cached_parts: int = CACHED_PARTS,
 ) -> DataFrame:
     """Documents' pieces with their place in sequences of ``capacity`` tokens, and ``ids_crc32``.
 
     Repeated rows and null ids are packed like any other; columns other than id and text are not
     looked at. The ids themselves are in the stored pieces that ``token_pieces`` makes.
     """
-    pieces = stored(spark, token_pieces(docs, tokenizer, capacity, id_col, text_col), "pack-pieces")
+    pieces = stored(spark, token_pieces(docs, tokenizer, capacity, id_col, text_col, block_bytes, cached_parts), "pack-pieces")
     small = pieces.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(spark, small, capacity).withColumnRenamed("id", id_col)

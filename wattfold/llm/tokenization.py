@@ -81,6 +81,7 @@ class Encoder:
         self.marked = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.marked[number] = token.endswith("</w>") if self.word_ends else token.startswith("Ġ")
+        self.most = CACHED_PARTS
         self._forget()
 
     def _forget(self) -> None:
@@ -209,8 +210,8 @@ class Encoder:
         """
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.string())
-        if len(self.known) > CACHED_PARTS:
-            self.trim(CACHED_PARTS // 2)
+        if len(self.known) > self.most:
+            self.trim(self.most // 2)
         flat, counts = self.parts(texts)
         flat = flat.dictionary_encode()
         different = self._numbers(_strings(flat.dictionary))
@@ -230,8 +231,12 @@ _ENCODERS: dict[str, Encoder] = {}
 KEPT.append(_ENCODERS)
 
 
-def encoder(file: str) -> Encoder:
-    """The worker's encoder for a file; it stays in the worker until work that needs the memory drops it."""
+def encoder(file: str, most: int = CACHED_PARTS) -> Encoder:
+    """The worker's encoder for a file, which keeps the ids of at most so many parts.
+
+    It stays in the worker until work that needs the memory drops it.
+    """
     if file not in _ENCODERS:
         _ENCODERS[file] = Encoder(file)
+    _ENCODERS[file].most = most
     return _ENCODERS[file]
